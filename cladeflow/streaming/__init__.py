@@ -1,0 +1 @@
+"""Intentionally empty: every input of this workload is a complete table, nothing arrives as a stream."""
