@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,7 +47,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(frame: DataFrame) -> DataFrame:
-    """Write the frame to the shared folder and go on from there, so that plans stay short
-    in iterative jobs and a lost executor costs no more than the last step."""
-    shared_folder(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    """Write the frame to the shared folder and go on from the written table.
+
+    Plans stay short in iterative jobs, a lost executor costs no more than the last step, and the next
+    step is planned with the table's true size.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_folder(spark)}/step-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
