@@ -85,9 +85,9 @@ def newick_edges(trees: DataFrame, piece: int = PIECE) -> DataFrame:
         leaf.cast("int").alias("tip_no"),
         opens.cast("int").alias("open_no"),
     )
-    # Commas, labels and lengths are not counted themselves.
-    counted = running_sums(marked.where("leaf or bracket is not null"), ["tree_id"], "pos", ["depth", "tip_no", "open_no"], piece)
-    counted = cut(counted)
+    # Commas, labels and lengths are not counted themselves. Texts are taken apart once only.
+    marked = cut(marked.where("leaf or bracket is not null"))
+    counted = cut(running_sums(marked, ["tree_id"], "pos", ["depth", "tip_no", "open_no"], piece))
 
     # A bracket and everything directly inside it share a level; the n-th bracket of a level is
     # opened by its n-th "(" and closed by its n-th ")".

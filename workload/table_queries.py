@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from cladeflow.functions.taxonomy import below_anchor
 from cladeflow.operators.catalogue import build_catalogue, genome_batches, genome_metadata, trim_accessions
 from cladeflow.operators.summary import clade_sources, counts_by_rank, summarise_clades, with_total
 from cladeflow.params import preset
-from cladeflow.session import shared_folder
+from cladeflow.session import cut, shared_folder
 from cladeflow.sources import tsv
 from cladeflow.sources.newick import newick_edges
 from workload.inputs import NOVELTY, sql_double, sql_pick, sql_rank, table
@@ -326,6 +327,7 @@ lines AS (
   FROM lineitem)"""
 
 
+@lru_cache(maxsize=4)
 def newick_texts(spark, sf_dir):
     """One tree per order: its lines as tips, grouped by return flag (an order has few lines)."""
     lines = table(spark, sf_dir, "lineitem")
@@ -346,15 +348,14 @@ def newick_texts(spark, sf_dir):
     )
     clade = F.concat(F.lit("("), F.col("tips"), F.lit(")'0.5:"), F.col("l_returnflag"), F.lit("|RED=0.500':1"))
     grouped = F.array_sort(F.collect_list(F.struct("l_returnflag", clade.alias("clade"))))
-    return flags.groupBy(F.col("l_orderkey").alias("tree_id")).agg(
-        F.concat(
-            F.lit("("),
-            F.array_join(F.transform(grouped, lambda part: part["clade"]), ","),
-            F.lit(")order"),
-            F.col("l_orderkey").cast("string"),
-            F.lit(";"),
-        ).alias("newick")
+    text = F.concat(
+        F.lit("("),
+        F.array_join(F.transform(grouped, lambda part: part["clade"]), ","),
+        F.lit(")order"),
+        F.col("l_orderkey").cast("string"),
+        F.lit(";"),
     )
+    return cut(flags.groupBy(F.col("l_orderkey").alias("tree_id")).agg(text.alias("newick")))
 
 
 @query(
