@@ -27,29 +27,31 @@ def jump_until_done(state: DataFrame, merge: Merge | None = None) -> DataFrame:
     pointer to a row that does not exist ends the path there.
     """
     merge = merge or {}
-    columns = ["node", "jump", "done", *merge]
-    state = cut(state.select(*columns))
-    while not state.where(~F.col("done")).isEmpty():
-        open_rows = state.where(~F.col("done")).alias("near")
-        targets = state.alias("far")
-
-        def near(name: str) -> Column:
-            return F.col(f"near.{name}")
-
-        def far(name: str) -> Column:
-            return F.col(f"far.{name}")
-
-        moved = open_rows.join(targets, near("jump") == far("node"), "left").select(
-            near("node"),
-            far("jump"),
-            F.coalesce(far("done"), F.lit(True)).alias("done"),
-            *[
-                F.when(far("node").isNull(), near(name)).otherwise(join(near, far)).alias(name)
-                for name, join in merge.items()
-            ],
+    step = cut(state.select("node", "jump", "done", *merge))
+    arrived = step.where("done")
+    while not (open_rows := step.where("not done")).isEmpty():
+        # Rows that have arrived stay in the table of their round; only the others are written again.
+        near, far = _named("near"), _named("far")
+        moved = (
+            open_rows.alias("near")
+            .join(arrived.unionByName(open_rows).alias("far"), near("jump") == far("node"), "left")
+            .select(
+                near("node"),
+                far("jump"),
+                F.coalesce(far("done"), F.lit(True)).alias("done"),
+                *[
+                    F.when(far("node").isNull(), near(name)).otherwise(join(near, far)).alias(name)
+                    for name, join in merge.items()
+                ],
+            )
         )
-        state = cut(state.where(F.col("done")).unionByName(moved))
-    return state
+        step = cut(moved)
+        arrived = arrived.unionByName(step.where("done"))
+    return arrived
+
+
+def _named(side: str) -> Callable[[str], Column]:
+    return lambda column: F.col(f"{side}.{column}")
 
 
 def with_parent(nodes: DataFrame, columns: list[str], prefix: str = "parent_") -> DataFrame:

@@ -14,7 +14,7 @@ from cladeflow.operators.naming import Naming
 from cladeflow.operators.summary import summarise_clades
 from cladeflow.params import DomainParams, as_domains
 from cladeflow.sources import tsv
-from cladeflow.sources.newick import newick_edges
+from cladeflow.sources.newick import newick_file_edges
 
 
 class NamingError(ValueError):
@@ -48,8 +48,7 @@ def name_and_fill(
 
 def annotate_tree_file(spark: SparkSession, newick: str, taxonomy: str, params: DomainParams) -> DataFrame:
     """Annotated nodes of a Newick file with one tree, reference genomes marked by the taxonomy file."""
-    text = spark.read.text(newick, wholetext=True).select(F.lit(1).alias("tree_id"), F.col("value").alias("newick"))
-    return annotate_nodes(newick_edges(text).drop("tree_id"), tsv.read_taxonomy(spark, taxonomy), params)
+    return annotate_nodes(newick_file_edges(spark, newick), tsv.read_taxonomy(spark, taxonomy), params)
 
 
 def export_batches(spark: SparkSession, info: str, fasta_paths: str, out: str) -> None:

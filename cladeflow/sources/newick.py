@@ -6,7 +6,7 @@ two steps, within pieces of bounded length and over the pieces, so a very large
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cladeflow.session import cut
@@ -19,19 +19,20 @@ PIECE = 65536
 def running_sums(frame: DataFrame, group: list[str], position: str, values: list[str], piece: int = PIECE) -> DataFrame:
     """Replace the value columns by their running sums in order of ``position`` within each group.
 
-    A window never sees more than ``piece`` rows, or one row per piece of a group.
+    ``position`` counts from 0 without large gaps. A window never sees more than ``piece`` rows, or one
+    row per piece of a group; groups of one piece need no second step.
     """
-    piece_of = F.expr(f"{position} div {piece}").alias("_piece")
-    cut_up = frame.select("*", piece_of)
+    cut_up = frame.select("*", F.expr(f"{position} div {piece}").alias("_piece"))
     totals = cut_up.groupBy(*group, "_piece").agg(*[F.sum(value).alias(f"_{value}") for value in values])
     before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *group, "_piece", *[F.coalesce(F.sum(f"_{value}").over(before), F.lit(0)).alias(f"_{value}") for value in values]
-    )
+    ).where("_piece > 0")
     within = Window.partitionBy(*group, "_piece").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
     kept = [name for name in frame.columns if name not in values]
-    return cut_up.join(offsets, [*group, "_piece"]).select(
-        *kept, *[(F.sum(value).over(within) + F.col(f"_{value}")).alias(value) for value in values]
+    return cut_up.join(offsets, [*group, "_piece"], "left").select(
+        *kept,
+        *[(F.sum(value).over(within) + F.coalesce(f"_{value}", F.lit(0))).alias(value) for value in values],
     )
 
 
@@ -43,10 +44,9 @@ def _length(token: Column) -> Column:
     return F.when(token.startswith(":"), F.substr(token, F.lit(2)).try_cast("double"))
 
 
-def tokens(trees: DataFrame) -> DataFrame:
-    """``tree_id, pos, token`` with the neighbouring tokens ``prev, next, after``."""
-    split = F.regexp_extract_all(F.col("newick"), F.lit(TOKEN), F.lit(1))
-    listed = trees.select("tree_id", split.alias("_tokens"))
+def _in_context(texts: DataFrame, text: str, *columns: str) -> DataFrame:
+    """``pos, token, prev, next, after`` per token of each text: its place and its neighbours."""
+    listed = texts.select(*columns, F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(1)).alias("_tokens"))
     around = F.transform(
         "_tokens",
         lambda token, at: F.struct(
@@ -57,11 +57,70 @@ def tokens(trees: DataFrame) -> DataFrame:
             F.get("_tokens", at + 2).alias("after"),
         ),
     )
-    return listed.select("tree_id", F.explode(around).alias("_token")).select("tree_id", "_token.*")
+    return listed.select(*columns, F.explode(around).alias("_token")).select(*columns, "_token.*")
+
+
+def text_tokens(trees: DataFrame) -> DataFrame:
+    """Tokens of ``trees(tree_id, newick)``: ``tree_id, pos, token, prev, next, after``."""
+    return _in_context(trees, "newick", "tree_id")
+
+
+def file_tokens(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame:
+    """The same for a file holding one tree, however large: the file is read in parallel, split at its
+    commas. Stretches between commas are put in order by their place in the file, and joined again
+    where a comma belongs to a quoted label."""
+    read = spark.read.option("lineSep", ",").text(path).select(
+        F.col("value"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
+    )
+    read = cut(read)
+    blocks = read.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first"))
+    # One row per split of the file.
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit("'"), F.lit("")))
+    stretches = read.join(F.broadcast(starts), "_block").select(
+        F.lit(1).cast("bigint").alias("tree_id"),
+        (F.col("_row") - F.col("_first") + F.col("_start")).alias("at"),
+        "value",
+        quotes.alias("_own"),
+        quotes.alias("_quotes"),
+    )
+    counted = running_sums(stretches, ["tree_id"], "at", ["_quotes"], piece)
+    opens = ((F.col("_quotes") - F.col("_own")) % 2 == 0).cast("int")
+    segments = (
+        running_sums(counted.withColumn("segment", opens), ["tree_id"], "at", ["segment"], piece)
+        .groupBy("tree_id", "segment")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("_parts"))
+        .select("tree_id", "segment", F.array_join(F.transform("_parts", lambda part: part["value"]), ",").alias("text"))
+        # The comma behind a segment is its last token, the one before it only tells what comes before.
+        .select(
+            "tree_id",
+            (F.col("segment") - 1).alias("segment"),
+            (F.col("segment") > 1).cast("bigint").alias("_lead"),
+            F.concat(F.when(F.col("segment") > 1, ",").otherwise(""), F.col("text"), F.lit(",")).alias("text"),
+        )
+    )
+    segments = cut(segments.withColumn("_count", F.regexp_count("text", F.lit(TOKEN)) - F.col("_lead")))
+    ends = running_sums(segments.select("tree_id", "segment", "_count", F.col("_count").alias("_end")), ["tree_id"], "segment", ["_end"], piece)
+    placed = segments.drop("_count").join(
+        ends.select("segment", (F.col("_end") - F.col("_count")).alias("_start")), "segment"
+    )
+    placed_tokens = _in_context(placed, "text", "tree_id", "_lead", "_start").where(F.col("pos") >= F.col("_lead"))
+    return placed_tokens.withColumn("pos", F.col("pos") - F.col("_lead") + F.col("_start")).drop("_lead", "_start")
 
 
 def newick_edges(trees: DataFrame, piece: int = PIECE) -> DataFrame:
-    """``tree_id, parent, node, branch_length, label`` for ``trees(tree_id, newick)``.
+    """``tree_id, parent, node, branch_length, label`` for ``trees(tree_id, newick)``."""
+    return edges(text_tokens(trees), piece)
+
+
+def newick_file_edges(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame:
+    """``parent, node, branch_length, label`` for a file holding one tree."""
+    return edges(file_tokens(spark, path, piece), piece).drop("tree_id")
+
+
+def edges(tokens: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Node table from tokens.
 
     Tips are numbered 1..N in order of appearance, internal nodes from N+1 in pre-order; the root N+1
     is its own parent. Quotes stay part of a label.
@@ -70,7 +129,7 @@ def newick_edges(trees: DataFrame, piece: int = PIECE) -> DataFrame:
     opens = token == "("
     closes = token == ")"
     leaf = F.coalesce(F.col("prev").isin("(", ","), F.lit(False)) & ~opens
-    marked = tokens(trees).select(
+    marked = tokens.select(
         "tree_id",
         "pos",
         F.when(opens, "open").when(closes, "close").alias("bracket"),

@@ -17,9 +17,9 @@ def forest(ties: bool, seed: int, count: int):
     return [random_tree(rng, f"t{number}", ties) for number in range(count)]
 
 
-@pytest.mark.parametrize("ties, seed", [(False, 1), (True, 2), (True, 3)])
+@pytest.mark.parametrize("ties, seed", [(False, 1), (True, 2)])
 def test_same_names_as_one_by_one(spark, ties, seed):
-    trees = forest(ties, seed, 400)
+    trees = forest(ties, seed, 300)
     rows = [row for number, tree in enumerate(trees) for row in tree.rows(PARAMS, number * STRIDE)]
     quality = [(genome, value, 0.0) for tree in trees for genome, value in tree.quality.items()]
     nodes = spark.createDataFrame(rows, NODE_DDL)
@@ -47,6 +47,9 @@ def test_same_names_as_one_by_one(spark, ties, seed):
     found_rows = sorted(map(tuple, run.node_names.collect()), key=key)
     assert found_rows == sorted(expected_rows, key=key)
     assert run.issues.isEmpty()
+    # The rarer rules do occur in these trees.
+    assert not run.spans.where("deferred").join(run.named, "node").isEmpty()
+    assert not run.facts.where("passed_over").isEmpty()
 
     lineages = [pair for tree in trees for pair in tree.lineages.items()]
     taxonomy = spark.createDataFrame(lineages, "genome string, taxonomy string")
