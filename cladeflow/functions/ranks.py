@@ -40,7 +40,10 @@ def rank_index(word: Column) -> Column:
 
 
 def median_red(rank: Column, params: DomainParams) -> Column:
-    return F.get(F.array(*[F.lit(median) for median in params.medians]), rank)
+    case = F.when(rank == 0, params.medians[0])
+    for level, median in list(enumerate(params.medians))[1:]:
+        case = case.when(rank == level, median)
+    return case
 
 
 def closer_to_median(red: Column, parent_red: Column, median: Column) -> Column:

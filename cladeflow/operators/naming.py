@@ -45,10 +45,9 @@ def node_facts(inner: DataFrame, domains: tuple[DomainParams, ...]) -> DataFrame
 
     ``inner`` has ``node, parent`` (keys), ``domain, gtdb, rank, red`` and no tips.
     """
-    own = inner.select("node", "parent", "domain", "gtdb", "rank", "red")
     is_root = F.col("node") == F.col("parent")
-    candidates = own.where(~F.col("gtdb")).select("node", "parent", F.lit(None).alias("genome"))
-    linked = with_parent(own, ["rank", "red"]).join(child_counts(candidates), "node", "left")
+    candidates = inner.where(~F.col("gtdb")).select("node", "parent", F.lit(None).alias("genome"))
+    linked = with_parent(inner, ["rank", "red"]).join(child_counts(candidates), "node", "left")
     median = per_domain(F.col("domain"), {p.domain: median_red(F.col("rank"), p) for p in domains})
     parent_red = F.when(is_root, 0.0).otherwise(F.col("parent_red"))
     facts = linked.select(
@@ -213,7 +212,7 @@ def named_paths(paths: DataFrame, named: DataFrame) -> DataFrame:
     )
     with_winner = steps.join(named.withColumnRenamed("node", "_step"), "_step")
     collected = with_winner.groupBy("node").agg(
-        F.array_sort(F.collect_list(F.struct("at", "first", "last", "winner", "winner_genome"))).alias("steps")
+        F.sort_array(F.collect_list(F.struct("at", "first", "last", "winner", "winner_genome"))).alias("steps")
     )
     return paths.drop("steps").join(collected, "node", "left")
 
@@ -241,6 +240,8 @@ def local_records(genomes: DataFrame, paths: DataFrame) -> DataFrame:
     )
     stop = F.get(F.filter("steps", lambda step: step["winner"] < F.col("ord")), F.lit(0))
     walked = walked.withColumn("stop", stop)
+
+    # Nodes named after the genome itself below its stop, and the node it stops at.
     borne = F.filter(
         "steps",
         lambda step: (step["at"] == F.col("stop.at"))
@@ -250,7 +251,7 @@ def local_records(genomes: DataFrame, paths: DataFrame) -> DataFrame:
 
     def at_rank(rank: int) -> Column:
         covering = F.filter("borne", lambda step: (step["first"] <= rank) & (step["last"] >= rank))
-        return F.get(covering, F.size(covering) - 1)["winner_genome"]
+        return F.try_element_at(covering, F.lit(-1))["winner_genome"]
 
     walked = walked.select("*", *[at_rank(rank).alias(name) for rank, name in enumerate(NAMES)])
     highest = F.coalesce(*[F.when(F.col(name).isNotNull(), rank) for rank, name in enumerate(NAMES)])
@@ -370,9 +371,15 @@ class Naming:
             F.col("RED").cast("double").alias("red"),
         )
 
+    @cached_property
+    def inner(self) -> DataFrame:
+        """Internal nodes with their rank, read from the node table once."""
+        internal = self._tree.where(F.col("genome").isNull())
+        return cut(internal.select("node", "parent", "domain", "gtdb", "rank", "red"))
+
     @cached_property
     def facts(self) -> DataFrame:
-        return cut(node_facts(self._tree.where(F.col("genome").isNull()), self.domains))
+        return cut(node_facts(self.inner, self.domains))
 
     @cached_property
     def spans(self) -> DataFrame:

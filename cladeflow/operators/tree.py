@@ -125,7 +125,7 @@ def ancestors(nodes: DataFrame) -> DataFrame:
 def paths(closure: DataFrame) -> DataFrame:
     """Ancestor list per node, bottom up, from ``ancestors``: a view for small trees."""
     return closure.groupBy("node").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("distance", "ancestor"))), lambda step: step["ancestor"]).alias(
+        F.transform(F.sort_array(F.collect_list(F.struct("distance", "ancestor"))), lambda step: step["ancestor"]).alias(
             "parents"
         )
     )

@@ -90,7 +90,7 @@ def file_tokens(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame
     segments = (
         running_sums(counted.withColumn("segment", opens), ["tree_id"], "at", ["segment"], piece)
         .groupBy("tree_id", "segment")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("_parts"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("_parts"))
         .select("tree_id", "segment", F.array_join(F.transform("_parts", lambda part: part["value"]), ",").alias("text"))
         # The comma behind a segment is its last token, the one before it only tells what comes before.
         .select(

@@ -342,12 +342,12 @@ def newick_texts(spark, sf_dir):
         F.col("l_quantity").cast("int").cast("string"),
     )
     in_order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    listed = F.array_sort(F.collect_list(F.struct(*in_order, tip.alias("tip"))))
+    listed = F.sort_array(F.collect_list(F.struct(*in_order, tip.alias("tip"))))
     flags = lines.groupBy("l_orderkey", "l_returnflag").agg(
         F.array_join(F.transform(listed, lambda line: line["tip"]), ",").alias("tips")
     )
     clade = F.concat(F.lit("("), F.col("tips"), F.lit(")'0.5:"), F.col("l_returnflag"), F.lit("|RED=0.500':1"))
-    grouped = F.array_sort(F.collect_list(F.struct("l_returnflag", clade.alias("clade"))))
+    grouped = F.sort_array(F.collect_list(F.struct("l_returnflag", clade.alias("clade"))))
     text = F.concat(
         F.lit("("),
         F.array_join(F.transform(grouped, lambda part: part["clade"]), ","),
