@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,19 +30,12 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of this application, as the cluster names it in spark.checkpoint.dir.
+    """Folder of this application's step tables, shared by all executors.
 
-    A temporary folder is used in local mode only: on a cluster it would be lost with its machine.
+    It lies below spark.checkpoint.dir, or below the warehouse folder where that is unset.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="cladeflow-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_steps"
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def cut(frame: DataFrame) -> DataFrame:
@@ -56,3 +48,9 @@ def cut(frame: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/step-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def drop_steps(spark: SparkSession) -> None:
+    """Remove the step tables of this application. Frames that still read them are of no use afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
