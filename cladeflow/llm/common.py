@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,3 +79,21 @@ def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """keys: int64."""
     slot = np.mod(keys, FILTER_BITS)
     return (bits[slot >> 6].view(np.uint64) >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def may_be_in(shared, key: Column) -> Column:
+    """Rows whose key may be among those of bit_filter; only the key goes to Python."""
+
+    @F.pandas_udf("boolean")
+    def known(keys: pd.Series) -> pd.Series:
+        return pd.Series(passes(shared.value, keys.to_numpy(dtype=np.int64)))
+
+    return known(key)
+
+
+def columns_of(schema_fields, batch: pa.RecordBatch) -> list[pa.Array]:
+    return [batch.column(f.name) for f in schema_fields]
+
+
+def ddl(fields) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)

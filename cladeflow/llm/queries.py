@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeflow.llm import decontamination
+from cladeflow.llm import decontamination, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +67,26 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(names, 256).alias("items_sha256"),
         decontamination.contaminated().alias("contaminated"),
     )
+
+
+@_query(
+    "op5_substring_dedup",
+    r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (
+    SELECT doc_id, k, md5(array_to_string(ws[k : k + 34], ' ')) AS said
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS k FROM d WHERE len(ws) >= 35)
+), again AS (SELECT said FROM w GROUP BY said HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 35)) AS j FROM w JOIN again USING (said)),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS said, count(*) AS n
+    FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM d) ANTI JOIN gone USING (doc_id, j) GROUP BY 1
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(said, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeated(documents, keep_text=False)
