@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeflow.llm import decontamination, substring_dedup
+from cladeflow.llm import decontamination, simhash_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,3 +90,8 @@ FROM d LEFT JOIN kept USING (doc_id)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeated(documents, keep_text=False)
+
+
+@_query("op2_simhash_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.groups(_read(spark, sf_dir, "documents").select("doc_id", "text"))
