@@ -29,21 +29,17 @@ def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
 
 
 def text_map(frame: DataFrame, schema: str, column: str, per_text: Callable[[bytes], tuple]) -> DataFrame:
-    """Add the columns of the schema, computed from each whole text; all other columns but the text are kept."""
-    kept = [f for f in frame.schema.fields if f.name != column]
-    names = [part.split()[0] for part in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [per_text(text) for text in raw(batch, column)]
-            columns = list(zip(*rows, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in kept] + [pa.array(c) for c in columns],
-                names=[f.name for f in kept] + names,
-            )
-
-    head = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return frame.mapInArrow(run, head + schema)
+    """The frame with the columns of the schema, computed from each whole text. Only the text goes to Python."""
+
+    @F.arrow_udf(f"struct<{schema.replace(' ', ':').replace(',:', ',')}>")
+    def read(texts: pa.Array) -> pa.Array:
+        rows = [per_text(text or b"") for text in texts.cast(pa.binary()).to_pylist()]
+        return pa.array([dict(zip(names, row, strict=True)) for row in rows], pa.struct([(n, kinds[k]) for n, k in fields]))
+
+    kinds = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
+    fields = [tuple(part.split()) for part in schema.split(", ")]
+    names = [n for n, _ in fields]
+    return frame.withColumn("_read", read(F.col(column))).select(*[f"`{c}`" for c in frame.columns], "_read.*")
 
 
 class WordIds(dict):

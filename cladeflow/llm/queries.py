@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeflow.llm import decontamination, simhash_dedup, substring_dedup
+from cladeflow.llm import decontamination, quality_rules, simhash_dedup, substring_dedup
+from cladeflow.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,3 +96,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_simhash_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.groups(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query("op8_quality_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = cut(quality_rules.counts(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text"))
+    limits = quality_rules.cutoffs(measured, _read(spark, sf_dir, "labels"))
+    return quality_rules.judge(measured, limits).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
