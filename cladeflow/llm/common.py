@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,15 @@ def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+_WORD_BYTE = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")
+_CLEAN = bytes(c if _WORD_BYTE.match(bytes([c])) else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
+
+
+def normal_words(text: bytes) -> list[bytes]:
+    """Lower-cased (A-Z) words of letters, digits and all beyond ASCII."""
+    return text.translate(_CLEAN).split()
+
+
 def text_map(frame: DataFrame, schema: str, column: str, per_text: Callable[[bytes], tuple]) -> DataFrame:
     """The frame with the columns of the schema, computed from each whole text. Only the text goes to Python."""
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladeflow.llm.common import raw
+from cladeflow.llm.common import normal_words, raw
 
 WINDOW = 13
 MAX_CHARS = 4_000_000
@@ -28,11 +28,6 @@ FOUND = ("n_words", "n_hit", "items", "spans")
 _SCHEMA = "n_words bigint, n_hit bigint, items array<bigint>, spans array<struct<begin:bigint, end:bigint>>, _ranges array<bigint>"
 _SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_CLEAN = bytes(c if _WORD.match(bytes([c])) else ord(chr(c).lower()) if 65 <= c <= 90 else 32 for c in range(256))
-
-
-def normal_words(text: bytes) -> list[bytes]:
-    return text.translate(_CLEAN).split()
 
 
 def compile_items(items: list[tuple[int, bytes]], window: int) -> ahocorasick.Automaton:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeflow.llm import decontamination, quality_rules, simhash_dedup, substring_dedup
+from cladeflow.llm import decontamination, lm_scoring, quality_rules, simhash_dedup, substring_dedup, toxicity
+from cladeflow.llm.common import held_out
 from cladeflow.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +104,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = cut(quality_rules.counts(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text"))
     limits = quality_rules.cutoffs(measured, _read(spark, sf_dir, "labels"))
     return quality_rules.judge(measured, limits).select("doc_id", *quality_rules.BASE, "base_failed", "kept")
+
+
+@_query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    network = toxicity.fit(documents.where(~held_out("doc_id", 0)), _read(spark, sf_dir, "labels"))
+    return toxicity.apply(documents.withColumn("held_out", held_out("doc_id", 0)), network)
+
+
+@_query("op10_lm_scoring")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out("doc_id", 1))
+    return lm_scoring.score(documents, documents.where("not held_out"))
