@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cladeflow.llm import decontamination, lm_scoring, quality_rules, simhash_dedup, substring_dedup, toxicity
+import uuid
+
+from cladeflow.llm import decontamination, html_extraction, lm_scoring, mixing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, token_counts, toxicity
 from cladeflow.llm.common import held_out
-from cladeflow.session import cut
+from cladeflow.session import cut, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -117,3 +120,58 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out("doc_id", 1))
     return lm_scoring.score(documents, documents.where("not held_out"))
+
+
+@_query("op7_html_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.main_text(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
+@_query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches, one of them delivered twice: provisional counts, true counts, toxic documents taken out and put back."""
+    version = "byte_bpe_50k"
+    words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("bigint")
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    counted = cut(
+        documents.select(
+            "doc_id", "source", "lang", F.coalesce(words, F.lit(0)).alias("words"), token_counts.token_counter(spark, version)("text").alias("n")
+        )
+    )
+    toxic = _read(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    disputed = counted.join(toxic, "doc_id", "left_semi")
+    rollup = token_counts.Rollup(spark, f"{shared_folder(spark)}/rollup-{uuid.uuid4().hex}")
+    rollup.commit("1-load", token_counts.inserted(counted, version, F.col("words")))
+    rollup.commit("2-count", token_counts.revised(counted, version, F.col("words"), F.col("n")))
+    rollup.commit("3-dispute", token_counts.deleted(disputed, version, F.col("n")))
+    rollup.commit("2-count", token_counts.revised(counted, version, F.col("words"), F.col("n")))
+    rollup.commit("4-settle", token_counts.inserted(disputed, version, F.col("n")))
+    return rollup.totals()
+
+
+@_query("op1_quality_classifier")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's url names its document by the last number of its path; documents without page have source and language."""
+    labels = _read(spark, sf_dir, "labels")
+    read = cut(quality_classifier.evidence(_read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), labels))
+    path = F.regexp_extract("url", r"^\w+://[^/]+(/[^?#]*)", 1)
+    pages = _read(spark, sf_dir, "pages").select(
+        F.expr("try_cast(regexp_extract(url, '/([0-9]+)(?:[./][^?#]*)?(?:[?#].*)?$', 1) AS BIGINT)").alias("doc_id"),
+        F.struct(html_extraction.host_of(F.col("url")).alias("host"), F.regexp_extract(path, "^/([^/]*)/", 1).alias("path")).alias("site"),
+    )
+    sites = pages.where("doc_id is not null").groupBy("doc_id").agg(F.min("site").alias("site"))
+    sited = read.join(sites, "doc_id", "left").select(
+        "doc_id", "evidence", F.coalesce("site.host", "source").alias("host"), F.coalesce("site.path", "lang").alias("path")
+    )
+    return quality_classifier.combine(sited, labels)
+
+
+@_query("op9_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = _read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "labels")
+    domains = list(mixing.TARGETS)
+    model = mixing.fit_domains(documents, labels, mixing.label_domain(), domains)
+    members = cut(mixing.posterior(documents, model).drop("text"))
+    gaps = mixing.fit_rates(members, np.array(list(mixing.TARGETS.values())))
+    return mixing.apply_rates(members, gaps, domains)

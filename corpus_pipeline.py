@@ -1,13 +1,62 @@
-"""Document pipeline: quality rules, near duplicates, repeated passages, benchmark passages, mixing."""
+"""Document pipeline: quality rules, near duplicates, repeated passages, benchmark passages, mixing.
+
+Each stage takes (spark, docs, sf_dir) and all documents its predecessor kept. All but the last return the columns of
+documents; the last adds the mixing rate and the number of copies to read. SQL can express none of the fitted stages.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cladeflow.llm import decontamination, mixing, quality_rules, simhash_dedup, substring_dedup
+from cladeflow.session import cut
+
 ORACLE_SQL: str | None = None
 
 
-def run(spark, sf_dir):
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that break a base rule or a certified cutoff go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.apply_rules(docs, labels).where("kept").select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group stays."""
+    return simhash_dedup.keep_one(docs).select(docs.columns)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring passages are cut out of the texts; documents that consist of nothing else go."""
+    found = substring_dedup.remove_repeated(docs).where("n_removed = 0 or n_removed < n_words")
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return found.select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark passages make up a twentieth of, or more, go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.find_items(docs, benchmark).where(~decontamination.contaminated()).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rates and copies that bring the expected shares of tokens to the targets; documents without a copy go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.mix(docs, labels).where("copies > 0")
+
+
+STAGES = [
+    ("quality_rules", drop_low_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeated_passages),
+    ("benchmark_passages", drop_contaminated),
+    ("mixing", mix),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        documents = stage(spark, documents, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        documents = stage(spark, cut(documents) if k else documents, sf_dir)
     return documents
