@@ -1,10 +1,9 @@
-"""Small trees for tests, many of them in one node table, and the naming rules taken one genome at a time."""
+"""Small trees for tests, many of them in one node table, and the naming rules by brute force over their paths."""
 
 from __future__ import annotations
 
 import random
-import re
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass, field
 
 from cladeflow.params import RANKS, DomainParams
@@ -57,136 +56,124 @@ def rank_of(red: float, params: DomainParams) -> int:
     return next(rank for rank, edge in enumerate(params.upper_edges) if red <= edge)
 
 
-def name_one_by_one(tree: Tree, params: DomainParams) -> tuple[dict[str, str], list[tuple]]:
-    """Taxonomy per new genome and all (node, clade, genome) rows, by walking up from each genome in turn."""
-    medians = params.medians
-    reference = tree.reference_nodes()
-    below = defaultdict(list)
-    for node, (parent, _) in tree.inner.items():
-        if node != parent:
-            below[parent].append(node)
-
-    def rank(node):
-        return rank_of(tree.inner[node][1], params)
-
-    def above(node):
-        parent = tree.inner[node][0]
-        return 0.0 if parent == node else tree.inner[parent][1]
-
-    def better(red, other, level):
-        return abs(red - medians[level]) < abs(other - medians[level])
-
-    names_at: dict[int, dict[int, str]] = {}
-    finals: dict[str, list] = {}
-    rows: list[tuple] = []
-    taxonomy: dict[str, str] = {}
-    waiting = [g for g in tree.tips if g not in tree.lineages and g in tree.quality]
-    for genome in sorted(waiting, key=lambda g: (tree.quality[g], g), reverse=True):
-        slots: list = [None] * 6
-        leader = None
-        held = None  # a node and the ranks it could bear, decided one step further up
-        for here in tree.path(tree.tips[genome]):
-            known = here in reference
-            low, high = rank(here), rank(tree.inner[here][0])
-            levels = [] if known else [high] if high == low else list(range(high, low))
-            skip = False
-            if not known and high == low:
-                rivals = [c for c in below[here] if c not in reference and (held is None or c != held[0])]
-                skip = any(better(above(c), above(here), low) for c in rivals)
-            if held is not None:
-                node, ranks = held
-                if (known and ranks[0] == low) or (not known and ranks[0] == levels[0]):
-                    if better(above(node), above(here), ranks[0]):
-                        skip = not known
-                    else:
-                        # The top rank is lost; a single remaining one has to wait.
-                        ranks = ranks[1:] if len(ranks) > 2 else []
-                mine = {r: genome for r in ranks if slots[r] is None and r < 5}
-                for r in mine:
-                    slots[r] = genome
-                    rows.append((node, f"{RANKS[r][0]}__{genome}", genome))
-                if mine:
-                    names_at[node] = mine
-                held = None
-            if skip:
-                continue
-            if here in names_at:
-                for r, owner in names_at[here].items():
-                    slots[r] = leader = owner
-                break
-            if known:
-                supplied = low - 1 if better(tree.inner[here][1], above(here), low) else low
-                if supplied >= 0:
-                    slots[supplied] = here
-                break
-            held = (here, levels)
-
-        settled = [r for r, slot in enumerate(slots) if slot is not None]
-        top = settled[0] if settled else -1
-        if leader is not None:
-            slots[: top + 1] = finals[leader][: top + 1]
-            top = next(r for r, slot in enumerate(finals[leader]) if slot is not None)
-        anchored = [r for r, slot in enumerate(slots) if isinstance(slot, int)]
-        start = anchored[-1] if anchored else -1
-        for r in range(5):
-            if r > max(top, start) and slots[r] is None:
-                lower = [s for s in settled if s > r]
-                spot = None
-                if lower:
-                    fitting = [
-                        n
-                        for n in tree.path(tree.tips[genome])
-                        if n not in reference
-                        and rank(tree.inner[n][0]) <= r <= rank(n)
-                        and all(r < s for s in names_at.get(n, {}))
-                    ]
-                    if fitting:
-                        spot = fitting[-1]
-                        names_at.setdefault(spot, {})[r] = genome
-                slots[r] = genome
-                rows.append((spot, f"{RANKS[r][0]}__{genome}", genome))
-        finals[genome] = slots
-        parts = [str(slots[start]) if anchored else params.domain]
-        parts += [f"{RANKS[r][0]}__{slots[r]}" for r in range(start + 1, 5)]
-        if start < 4:
-            species = f"s__{slots[4]} {genome}"
-            rows.append((None, species, genome))
-            parts.append(species)
-        taxonomy[genome] = ";".join(parts)
-    return taxonomy, rows
-
-
-def fill_one_by_one(tree: Tree, taxonomy: dict[str, str], offset: int = 0) -> tuple[dict[str, str], list[tuple]]:
-    """Complete strings from the lineages below their node, the rarest one first."""
+class Rules:
+    """The naming rules, each stated for all nodes or genomes of a small tree at once; paths are simply listed.
+
+    Valid where RED strictly increases between new nodes of one rank.
+    """
+
+    def __init__(self, tree: Tree, params: DomainParams):
+        self.tree, self.params = tree, params
+        self.known = tree.reference_nodes()
+        self.rank = {n: rank_of(red, params) for n, (_, red) in tree.inner.items()}
+        self.new = sorted((g for g in tree.tips if g not in tree.lineages and g in tree.quality), key=lambda g: (tree.quality[g], g), reverse=True)
+        self.order = {g: k for k, g in enumerate(self.new)}
+        self.way = {g: [n for n in tree.path(tree.tips[g]) if n not in self.known] for g in self.new}
+        self.ranks, self.waits = {}, set()
+        for node in tree.inner:
+            if node not in self.known:
+                self._bear(node)
+        self.owner = {
+            n: min((g for g in self.new if n in self.way[g]), key=self.order.get, default=None) for n in self.ranks if n not in self.waits
+        }
+        for node in self.waits:
+            below = [self.owner[n] for n in self.owner if n not in self.waits and n != node and self.owner[n] and node in tree.path(n)]
+            self.owner[node] = min(below, key=self.order.get, default=None)
+
+    def parent(self, node: int) -> int:
+        return self.tree.inner[node][0]
+
+    def closer(self, node: int) -> bool:
+        """Closer to the median of its rank than its parent is."""
+        up = 0.0 if self.parent(node) == node else self.tree.inner[self.parent(node)][1]
+        median = self.params.medians[self.rank[node]]
+        return abs(self.tree.inner[node][1] - median) < abs(up - median)
+
+    def equal(self, node: int) -> bool:
+        return node not in self.known and self.rank[node] == self.rank[self.parent(node)]
+
+    def skipped(self, node: int) -> bool:
+        children = [n for n in self.tree.inner if self.parent(n) == node != n and n not in self.known]
+        return self.equal(node) and self.closer(node) and bool(children)
+
+    def _bear(self, node: int) -> None:
+        up = self.parent(node)
+        if node == up or self.skipped(node):
+            return
+        own = [self.rank[node]] if self.equal(node) else list(range(self.rank[up], self.rank[node]))
+        if (self.equal(up) or up in self.known) and not self.closer(up):
+            if len(own) == 2:
+                self.waits.add(node)
+            own = own[1:]
+        own = [r for r in own if r < 5]
+        if own:
+            self.ranks[node] = own
+        else:
+            self.waits.discard(node)
+
+    def stop(self, genome: str) -> int | None:
+        named = (n for n in self.way[genome] if self.owner.get(n) and self.order[self.owner[n]] < self.order[genome])
+        return next(named, None)
+
+    def lineage(self, genome: str) -> tuple[int | None, int, dict[int, str]]:
+        """Anchor node or None, its rank or -1, and the genomes that ranks below it are named after."""
+        stop = self.stop(genome)
+        names = {r: genome for n in self.way[genome] if self.owner.get(n) == genome for r in self.ranks[n]}
+        if stop is not None:
+            cut_at = self.way[genome].index(stop)
+            names = {r: genome for n in self.way[genome][:cut_at] if self.owner.get(n) == genome for r in self.ranks[n]}
+            names |= {r: self.owner[stop] for r in self.ranks[stop]}
+            anchor, at, above = self.lineage(self.owner[stop])
+            names |= {r: name for r, name in above.items() if r < min(names)}
+        else:
+            anchor = next((n for n in self.tree.path(self.tree.tips[genome]) if n in self.known), None)
+            at = -1 if anchor is None else self.rank[anchor] - self.closer(anchor)
+            if at < 0:
+                anchor = None
+        return anchor, at, {r: names.get(r, genome) for r in range(at + 1, 5)}
+
+    def results(self) -> tuple[dict[str, str], list[tuple]]:
+        """Taxonomy per new genome and all (node, clade, genome) rows."""
+        taxonomy = {}
+        rows = [(n, f"{RANKS[r][0]}__{g}", g) for n, g in self.owner.items() if g for r in self.ranks[n]]
+        attached = {(clade, g) for _, clade, g in rows}
+        for genome in self.new:
+            anchor, at, names = self.lineage(genome)
+            parts = [self.params.domain if anchor is None else str(anchor)]
+            parts += [f"{RANKS[r][0]}__{name}" for r, name in names.items()]
+            rows += [(None, c, genome) for r, name in names.items() if name == genome and ((c := f"{RANKS[r][0]}__{genome}"), genome) not in attached]
+            if at < 4:
+                parts.append(f"s__{names[4]} {genome}")
+                rows.append((None, parts[-1], genome))
+            taxonomy[genome] = ";".join(parts)
+        return taxonomy, rows
+
+
+def filled(tree: Tree, taxonomy: dict[str, str], offset: int = 0) -> tuple[dict[str, str], list[tuple]]:
+    """Complete strings; all lineages of the trees have seven ranks."""
     full, added = {}, []
     for genome, text in taxonomy.items():
-        if not text.startswith("d__"):
-            head, _, rest = text.partition(";")
-            node = int(head) - offset
-            voters = [line for tip, line in tree.lineages.items() if node in tree.path(tree.tips[tip])]
-            found = [re.match(f"(.*);{rest[:3]}", line) for line in voters]
-            counts = Counter(match.group(1) if match else None for match in found)
-            prefix = min(counts, key=lambda p: (counts[p], p is None, p or "")) if counts else None
-            genus = prefix[prefix.index("g__") + 3 :] if prefix and "g__" in prefix else None
-            if prefix is not None and (rest or genus is not None):
-                if not rest:
-                    rest = f"s__{genus} {genome}"
-                    added.append((None, rest, genome))
-                text = f"{prefix};{rest}"
+        start, *rest = text.split(";")
+        if start.isdigit():
+            below = [line.split(";") for tip, line in tree.lineages.items() if int(start) - offset in tree.path(tree.tips[tip])]
+            keep = 7 - max(len(rest), 1)
+            votes = Counter(";".join(line[:keep]) for line in below)
+            rarest = min(votes.items(), key=lambda vote: (vote[1], vote[0]))[0]
+            if not rest:
+                rest = [f"s__{rarest.split(';')[-1][3:]} {genome}"]
+                added.append((None, rest[0], genome))
+            text = ";".join([rarest, *rest])
         full[genome] = text
     return full, added
 
 
-def random_tree(rng: random.Random, label: str, ties: bool) -> Tree:
-    """A random tree whose RED never falls downwards; with ``ties`` equal values on a path are common."""
+def random_tree(rng: random.Random, label: str) -> Tree:
+    """A random tree whose RED grows downwards."""
     inner = {0: (0, round(rng.uniform(0.02, 0.3), 2))}
     for node in range(1, rng.randint(3, 30)):
         parent = rng.choice([rng.randrange(node), node - 1])
         low = inner[parent][1]
-        if ties:
-            red = min(1.0, round(low + rng.choice([0, 0, 0.01, 0.02, 0.05, 0.1, 0.25, 0.4]), 2))
-        else:
-            red = low + (1 - low) * rng.choice([0.02, 0.05, 0.1, 0.2, 0.4, 0.6]) * rng.uniform(0.5, 1)
+        red = low + (1 - low) * rng.choice([0.02, 0.05, 0.1, 0.2, 0.4, 0.6]) * rng.uniform(0.5, 1)
         inner[node] = (parent, red)
     childless = set(inner) - {parent for node, (parent, _) in inner.items() if node != parent}
     spots = [node for node in childless for _ in range(rng.randint(1, 3))]
@@ -198,8 +185,6 @@ def random_tree(rng: random.Random, label: str, ties: bool) -> Tree:
     for genome in tips:
         if rng.random() < share:
             parts = [f"{rank[0]}__{rng.choice('XY')}{label}" for rank in RANKS]
-            if rng.random() < 0.1:
-                parts.pop(rng.randrange(6))
             lineages[genome] = "d__Bacteria;" + ";".join(parts)
     quality = {genome: float(rng.randint(50, 60)) for genome in tips}
     return Tree(inner, tips, quality, lineages)

@@ -14,42 +14,47 @@ from cladeflow.params import RANKS
 from cladeflow.plans.run import DomainInputs, NamingError, annotate_tree_file, run_files
 from cladeflow.sources import tsv
 
-# label: RED, bootstrap, taxa, genome
-LABELS = {
-    "mag_01842612": (None, None, None, "mag_01842612"),
-    "3300027742_44": (None, None, None, "3300027742_44"),
-    "GB_GCA_018819225.1": (None, None, None, "GB_GCA_018819225.1"),
-    "rbin.455": (None, None, None, "rbin.455"),
-    "d__Archaea": (None, None, "d__Archaea", None),
-    "'1.0:p__A; c__B'": (None, 1.0, "p__A; c__B", None),
-    "'0.373:g__C01'": (None, 0.373, "g__C01", None),
-    "1.0": (None, 1.0, None, None),
-    "0.996": (None, 0.996, None, None),
-    "'1.0:s__D sp002495025'": (None, 1.0, "s__D sp002495025", None),
-    "'mag_01041117|RED=1.000'": (1.0, None, None, "mag_01041117"),
-    "'1.0:g__E|RED=0.931'": (0.931, 1.0, "g__E", None),
-    "'0.953|RED=0.332'": (0.332, 0.953, None, None),
-    "'0.999:c__F|RED=0.440'": (0.44, 0.999, "c__F", None),
-    "'1.0|RED=0.927'": (0.927, 1.0, None, None),
-    "": (None, None, None, None),
-}
+# The grammar of labels: [support][:taxa] or a genome, [|RED=value], in quotes if there is punctuation.
+GENOMES = ("x_1", "12_34", "Q_AB_5.2", "p.7")
+TAXA = ("f__N", "o__U; f__V", "s__N a b", "d__N")
+SUPPORTS = ("1.0", "0.25", "0.875")
+REDS = ("0.125", "1.000", "0.5")
+
+
+def grammar():
+    """label: (RED, bootstrap, taxa, genome)"""
+    for red in (None, *REDS):
+        value = None if red is None else float(red)
+        for core, parts in (
+            *((g, (None, None, g)) for g in GENOMES),
+            *((s, (float(s), None, None)) for s in SUPPORTS),
+            *((f"{s}:{t}", (float(s), t, None)) for s in SUPPORTS for t in TAXA),
+        ):
+            label = core if red is None else f"{core}|RED={red}"
+            yield (f"'{label}'" if set(label) & set(":|; ") else label), (value, *parts)
+    yield "c__N", (None, None, "c__N", None)
+    yield "", (None, None, None, None)
 
 
 def test_labels(spark):
-    frame = spark.createDataFrame([(label,) for label in LABELS], "label string")
+    expected = dict(grammar())
+    frame = spark.createDataFrame([(label,) for label in expected], "label string")
     rows = frame.select("label", *[column.alias(name) for name, column in label_columns(F.col("label")).items()]).collect()
-    assert {row.label: (row.RED, row.bootstrap, row.taxa, row.genome) for row in rows} == LABELS
+    assert {row.label: (row.RED, row.bootstrap, row.taxa, row.genome) for row in rows} == expected
 
 
-def test_red_bins(spark):
-    samples = {0.22: "phylum", 0.39: "class", 0.52: "class", 0.53: "order", 0.69: "family", 0.85: "genus", 0.9: "genus"}
-    samples |= {0.95: "genus", 0.98: "species", 1.0: "species", 0.0: None, 1.1: None, -0.1: None}
-    edges = preset("d__Bacteria").upper_edges
-    samples |= {edge: rank for edge, rank in zip(edges, RANKS)}  # closed on the right
+@pytest.mark.parametrize("domain", ["d__Bacteria", "d__Archaea"])
+def test_red_bins(spark, domain):
+    """Bins are closed on the right: each edge belongs to its rank, what lies just above to the next."""
+    edges = preset(domain).upper_edges
+    samples = {}
+    for rank, edge in enumerate(edges):
+        samples |= {edge: rank, edge - 1e-9: rank, edge + 1e-9: rank + 1 if rank + 1 < len(edges) else None}
+    samples |= {0.0: None, 1e-9: 0, -1e-9: None}
     frame = spark.createDataFrame([(red,) for red in samples], "red double").select(
         "red", red_rank(F.col("red"), edges).alias("rank")
     )
-    assert {row.red: None if row.rank is None else RANKS[row.rank] for row in frame.collect()} == samples
+    assert {row.red: row.rank for row in frame.collect()} == samples
 
 
 def test_rank_words_and_table(spark):

@@ -1,4 +1,4 @@
-"""Naming and fill against the rules taken one genome at a time, on many random trees in one run."""
+"""Naming and fill against the rules by brute force, on many random trees in one run."""
 
 import random
 
@@ -6,20 +6,16 @@ import pytest
 
 from cladeflow import fill_taxonomy, preset
 from cladeflow.operators.naming import Naming
-from forest import METADATA_DDL, NODE_DDL, fill_one_by_one, name_one_by_one, random_tree
+from forest import METADATA_DDL, NODE_DDL, Rules, filled, random_tree
 
 PARAMS = preset("d__Bacteria")
 STRIDE = 1000
 
 
-def forest(ties: bool, seed: int, count: int):
+@pytest.mark.parametrize("seed", [1, 2])
+def test_same_names_as_by_rule(spark, seed):
     rng = random.Random(seed)
-    return [random_tree(rng, f"t{number}", ties) for number in range(count)]
-
-
-@pytest.mark.parametrize("ties, seed", [(False, 1), (True, 2)])
-def test_same_names_as_one_by_one(spark, ties, seed):
-    trees = forest(ties, seed, 300)
+    trees = [random_tree(rng, f"t{number}") for number in range(300)]
     rows = [row for number, tree in enumerate(trees) for row in tree.rows(PARAMS, number * STRIDE)]
     quality = [(genome, value, 0.0) for tree in trees for genome, value in tree.quality.items()]
     nodes = spark.createDataFrame(rows, NODE_DDL)
@@ -29,14 +25,14 @@ def test_same_names_as_one_by_one(spark, ties, seed):
     expected_full, added = {}, []
     for number, tree in enumerate(trees):
         offset = number * STRIDE
-        shifted, shifted_rows = name_one_by_one(tree, PARAMS)
+        shifted, shifted_rows = Rules(tree, PARAMS).results()
         for genome, text in shifted.items():
             if not text.startswith("d__"):
                 head, mark, rest = text.partition(";")
                 text = f"{int(head) + offset}{mark}{rest}"
             expected[genome] = text
         expected_rows += [(None if node is None else node + offset, clade, genome) for node, clade, genome in shifted_rows]
-        full, more = fill_one_by_one(tree, {g: expected[g] for g in shifted}, offset)
+        full, more = filled(tree, {g: expected[g] for g in shifted}, offset)
         expected_full |= full
         added += more
 
@@ -54,7 +50,7 @@ def test_same_names_as_one_by_one(spark, ties, seed):
     lineages = [pair for tree in trees for pair in tree.lineages.items()]
     taxonomy = spark.createDataFrame(lineages, "genome string, taxonomy string")
     genomes, names = fill_taxonomy(nodes, run.genomes, run.node_names, taxonomy, PARAMS)
-    filled = {row.genome: row.taxonomy for row in genomes.collect()}
-    wrong = {g: (expected_full[g], filled.get(g)) for g in expected_full if expected_full[g] != filled.get(g)}
+    got = {row.genome: row.taxonomy for row in genomes.collect()}
+    wrong = {g: (expected_full[g], got.get(g)) for g in expected_full if expected_full[g] != got.get(g)}
     assert not wrong
     assert sorted(map(tuple, names.collect()), key=key) == sorted(expected_rows + added, key=key)
