@@ -17,7 +17,7 @@ from cladeflow.functions.taxonomy import anchor_node, below_anchor, genus_of, is
 from cladeflow.operators.keys import NodeKeys
 from cladeflow.operators.tree import jump_until_done, nearest_marked
 from cladeflow.params import RANK_LETTERS, SPECIES, DomainParams, as_domains, preset
-from cladeflow.session import cut
+from cladeflow.session import cut, cut_counting
 
 COMPLETE_LINEAGE = "^d__[^;]*" + "".join(f";{letter}__[^;]*" for letter in RANK_LETTERS) + "$"
 
@@ -35,11 +35,16 @@ def leading_ranks(taxonomy: Column, rank: Column) -> Column:
     return F.array_join(F.slice(F.split(taxonomy, ";"), F.lit(1), rank + 1), ";")
 
 
+def _domain(gtdb_taxonomy: DataFrame) -> list[str]:
+    return ["domain"] if "domain" in gtdb_taxonomy.columns else []
+
+
 def prefix_votes(nodes: DataFrame, wanted: DataFrame, gtdb_taxonomy: DataFrame) -> DataFrame:
     """Votes per wanted node and lineage: ``node, lineage, odd, votes``.
 
     ``wanted`` has ``node, rank`` (the first rank that is not asked for). Lineages are cut to the
-    finest rank any wanted node further up needs; malformed ones (``odd``) stay whole.
+    finest rank any wanted node further up needs; malformed ones (``odd``) stay whole. A taxonomy with
+    a ``domain`` column votes in that domain's tree only; ``nodes`` then has that column too.
     """
     inner = nodes.where(F.col("genome").isNull()).select("node", "parent")
     ranks = wanted.groupBy(F.col("node").alias("_wanted")).agg(F.max("rank").alias("finest"))
@@ -61,28 +66,35 @@ def prefix_votes(nodes: DataFrame, wanted: DataFrame, gtdb_taxonomy: DataFrame)
     ).select("node", "finest")
     needed = cut(needed)
 
-    complete = F.col("taxonomy").rlike(COMPLETE_LINEAGE)
-    tips = (
-        nodes.where(F.col("genome").isNotNull())
-        .select("genome", "parent")
-        .join(gtdb_taxonomy.select("genome", "taxonomy"), "genome")
+    # Genomes are counted per node and full lineage before anything else, so what meets at a node afterwards is one row
+    # per lineage, and these are dealt by node and lineage.
+    tips = nodes.where(F.col("genome").isNotNull()).select("genome", "parent", *_domain(gtdb_taxonomy))
+    lineages = gtdb_taxonomy.select("genome", "taxonomy", *_domain(gtdb_taxonomy))
+    counted = (
+        tips.join(lineages, ["genome", *_domain(gtdb_taxonomy)])
         .join(reached_from, "parent")
+        .groupBy("up", "taxonomy")
+        .agg(F.count(F.lit(1)).alias("votes"))
         .join(needed.withColumnRenamed("node", "up"), "up")
     )
+    complete = F.col("taxonomy").rlike(COMPLETE_LINEAGE)
     votes = (
-        tips.select(
+        counted.select(
             F.col("up").alias("node"),
             F.when(complete, leading_ranks(F.col("taxonomy"), F.col("finest"))).otherwise(F.col("taxonomy")).alias("lineage"),
             (~complete).alias("odd"),
+            "votes",
         )
+        .repartition("node", "lineage")
         .groupBy("node", "lineage", "odd")
-        .agg(F.count(F.lit(1)).alias("votes"))
+        .agg(F.sum("votes").alias("votes"))
     )
     votes = cut(votes)
 
     finest_there = needed.select(F.col("node").alias("jump"), F.col("finest").alias("finest_there"))
-    steps = cut(links.where(F.col("jump").isNotNull()).select("node", "jump").join(finest_there, "jump"))
-    while not steps.isEmpty():
+    steps, count = cut_counting(links.where(F.col("jump").isNotNull()).select("node", "jump").join(finest_there, "jump"))
+    # needed was found along the same pointers, so they end
+    while count["rows"]:
         # After k rounds each node holds the votes of all wanted nodes less than 2^k steps below.
         sent = votes.join(steps, "node").select(
             F.col("jump").alias("node"),
@@ -93,10 +105,13 @@ def prefix_votes(nodes: DataFrame, wanted: DataFrame, gtdb_taxonomy: DataFrame)
             "votes",
         )
         votes = cut(
-            votes.unionByName(sent).groupBy("node", "lineage", "odd").agg(F.sum("votes").alias("votes"))
+            votes.unionByName(sent)
+            .repartition("node", "lineage")
+            .groupBy("node", "lineage", "odd")
+            .agg(F.sum("votes").alias("votes"))
         )
         onward = steps.select(F.col("node").alias("_via"), F.col("jump").alias("_next"), F.col("finest_there").alias("_finest"))
-        steps = cut(
+        steps, count = cut_counting(
             steps.join(onward, steps["jump"] == onward["_via"]).select(
                 "node", F.col("_next").alias("jump"), F.col("_finest").alias("finest_there")
             )
@@ -121,7 +136,9 @@ def vote_prefix(votes: DataFrame, wanted: DataFrame, mode: str = "least_common")
     prefix = F.when(F.col("odd"), odd_prefix).otherwise(leading_ranks(F.col("lineage"), F.col("rank")))
     counted = (
         wanted.join(votes, "node")
-        .groupBy("node", "rank", "bare", prefix.alias("prefix"))
+        .select("node", "rank", "bare", prefix.alias("prefix"), "votes")
+        .repartition("node", "prefix")
+        .groupBy("node", "rank", "bare", "prefix")
         .agg(F.sum("votes").alias("votes"))
     )
     choice = F.min(F.struct((F.col("votes") * sign).alias("votes"), F.col("prefix").isNull().alias("none"), "prefix"))
@@ -164,6 +181,7 @@ class Fill:
             self.keys.key(F.col("node"), F.col("domain")).alias("node"),
             self.keys.key(F.coalesce("parent", "node"), F.col("domain")).alias("parent"),
             "genome",
+            "domain",
         )
         wanted = cut(
             self._strings.where(~F.col("complete") & F.col("node").isNotNull() & F.col("rank").isNotNull())
@@ -178,13 +196,13 @@ class Fill:
         species = species_name(genus_of(F.col("prefix")), F.col("genome"))
         below = F.when(F.col("bare"), species).otherwise(F.col("rest"))
         full = F.concat(F.col("prefix"), F.lit(";"), below)
-        return joined.select(
+        return cut(joined.select(
             "domain",
             "genome",
             F.when(F.col("complete"), F.col("taxonomy")).otherwise(F.coalesce(full, "taxonomy")).alias("taxonomy"),
             F.when(~F.col("complete") & F.col("bare") & full.isNotNull(), species).alias("species"),
             (~F.col("complete") & full.isNull()).alias("open"),
-        )
+        ))
 
     @property
     def genomes(self) -> DataFrame:

@@ -482,9 +482,10 @@ class Naming:
     @property
     def issues(self) -> DataFrame:
         """Genomes left without taxonomy: ``issue, genome``."""
+        by_domain = ["domain"] if "domain" in self.metadata.columns else []
         no_metadata = self._tree.where(
             F.col("magset").isNotNull() & (F.col("magset") != "GTDB") & F.col("genome").isNotNull()
-        ).join(self.metadata.select(F.col("Name").alias("genome")), "genome", "left_anti")
+        ).join(self.metadata.select(F.col("Name").alias("genome"), *by_domain), ["genome", *by_domain], "left_anti")
         parts = {
             "no_metadata": no_metadata,
             "invalid_node_on_path": self.records.where(F.col("kind") == INVALID),

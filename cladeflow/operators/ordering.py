@@ -11,12 +11,17 @@ from cladeflow.session import cut
 
 
 def with_quality(tips: DataFrame, metadata: DataFrame) -> DataFrame:
-    """New tips joined to their metadata; tips without metadata drop out (see ``issues``)."""
+    """New tips joined to their metadata; tips without metadata drop out (see ``issues``).
+
+    Metadata with a ``domain`` column apply to the tips of that domain only.
+    """
+    by_domain = ["domain"] if "domain" in metadata.columns and "domain" in tips.columns else []
     scores = metadata.select(
+        *by_domain,
         F.col("Name").alias("genome"),
         quality(F.col("Completeness").cast("double"), F.col("Contamination").cast("double")).alias("quality"),
     )
-    return new_tips(tips).join(scores, "genome")
+    return new_tips(tips).join(scores, ["genome", *by_domain])
 
 
 def in_order(genomes: DataFrame, *leading: str) -> DataFrame:

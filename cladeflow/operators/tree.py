@@ -14,39 +14,57 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cladeflow.session import cut
+from cladeflow.session import cut, cut_counting
 
 Merge = dict[str, Callable[[Callable[[str], Column], Callable[[str], Column]], Column]]
 
 
+class TreeError(ValueError):
+    """The parents do not form a tree."""
+
+
+def _rounds(rows: int) -> int:
+    """Rounds after which every path of a tree of so many nodes has been followed."""
+    return max(1, (max(rows, 1) - 1).bit_length()) + 1
+
+
+def _raise_open(problem: str, rows: DataFrame) -> None:
+    nodes = [str(row[0]) for row in rows.select("node").take(5)]
+    raise TreeError(f"{problem}, among them below node {', '.join(nodes)}")
+
+
 def jump_until_done(state: DataFrame, merge: Merge | None = None) -> DataFrame:
     """Follow ``jump`` pointers until every row is ``done``.
 
     ``state`` has ``node``, ``jump``, ``done`` and payload columns describing the path from ``node``
     (included) to ``jump`` (excluded). ``merge[name](near, far)`` joins two adjoining stretches. A
-    pointer to a row that does not exist ends the path there.
+    pointer to a row that does not exist ends the path there. Cycles and repeated nodes raise TreeError.
     """
     merge = merge or {}
-    step = cut(state.select("node", "jump", "done", *merge))
-    arrived = step.where("done")
-    while not (open_rows := step.where("not done")).isEmpty():
+    near, far = _named("near"), _named("far")
+    state = state.select("node", "jump", "done", *merge)
+    # Pointers that lead nowhere end here, so that later rounds need inner joins only, whose smaller side can be sent.
+    known = state.select(F.col("node").alias("_known"))
+    state = state.join(known, ~state["done"] & (state["jump"] == known["_known"]), "left").withColumn(
+        "done", F.col("done") | F.col("_known").isNull()
+    ).drop("_known")
+    step, count = cut_counting(state, open=~F.col("done"))
+    arrived, limit = step.where("done"), _rounds(count["rows"])
+    while count["open"]:
+        open_rows = step.where("not done")
+        if not limit:
+            _raise_open("parents form a cycle", open_rows)
         # Rows that have arrived stay in the table of their round; only the others are written again.
-        near, far = _named("near"), _named("far")
         moved = (
             open_rows.alias("near")
-            .join(arrived.unionByName(open_rows).alias("far"), near("jump") == far("node"), "left")
-            .select(
-                near("node"),
-                far("jump"),
-                F.coalesce(far("done"), F.lit(True)).alias("done"),
-                *[
-                    F.when(far("node").isNull(), near(name)).otherwise(join(near, far)).alias(name)
-                    for name, join in merge.items()
-                ],
-            )
+            .join(arrived.unionByName(open_rows).alias("far"), near("jump") == far("node"))
+            .select(near("node"), far("jump"), far("done"), *[join(near, far).alias(name) for name, join in merge.items()])
         )
-        step = cut(moved)
-        arrived = arrived.unionByName(step.where("done"))
+        expected = count["open"]
+        step, count = cut_counting(moved, open=~F.col("done"))
+        if count["rows"] != expected:
+            _raise_open("nodes are listed more than once", step)
+        arrived, limit = arrived.unionByName(step.where("done")), limit - 1
     return arrived
 
 
@@ -105,21 +123,23 @@ def ancestors(nodes: DataFrame) -> DataFrame:
 
     The result has one row per node and ancestor; use it where that is what is asked for.
     """
-    closure = cut(
+    closure, count = cut_counting(
         nodes.where(~_is_root()).select("node", F.col("parent").alias("ancestor"), F.lit(1).cast("bigint").alias("distance"))
     )
-    span = 1
+    span, limit = 1, _rounds(count["rows"] + 1)
     while True:
         ends = closure.where(F.col("distance") == span).alias("near")
         further = (
             ends.join(closure.alias("far"), F.col("near.ancestor") == F.col("far.node"))
             .select("near.node", "far.ancestor", (F.col("far.distance") + span).alias("distance"))
         )
-        further = cut(further)
-        if further.isEmpty():
+        further, count = cut_counting(further)
+        if not count["rows"]:
             return closure
+        if not limit:
+            _raise_open("parents form a cycle", further)
         closure = closure.unionByName(further)
-        span *= 2
+        span, limit = span * 2, limit - 1
 
 
 def paths(closure: DataFrame) -> DataFrame:
@@ -161,25 +181,27 @@ def any_descendant(nodes: DataFrame, flagged: str) -> DataFrame:
     """
     inner = nodes.where(F.col("genome").isNull())
     seeds = nodes.where(F.col("genome").isNotNull() & F.col(flagged)).select(F.col("parent").alias("node")).distinct()
-    state = cut(
-        inner.join(seeds.withColumn("flag", F.lit(True)), "node", "left").select(
-            "node",
-            F.when(~_is_root(), F.col("parent")).alias("jump"),
-            F.coalesce("flag", F.lit(False)).alias("flag"),
-        )
+    seeds = cut(inner.select("node").join(seeds, "node", "left_semi"))
+    state, count = cut_counting(
+        inner.where(~_is_root()).select("node", F.col("parent").alias("jump")).join(
+            seeds.withColumn("flag", F.lit(True)), "node", "left"
+        ).select("node", "jump", F.coalesce("flag", F.lit(False)).alias("flag"))
     )
-    while not state.where(F.col("jump").isNotNull()).isEmpty():
-        sent = state.where(F.col("flag") & F.col("jump").isNotNull()).select(
-            F.col("jump").alias("node"), F.lit(None).cast("bigint").alias("jump"), F.lit(True).alias("flag")
-        )
-        received = state.unionByName(sent).groupBy("node").agg(F.max("jump").alias("jump"), F.max("flag").alias("flag"))
-        onward = state.where(F.col("jump").isNotNull()).select(F.col("node").alias("_via"), F.col("jump").alias("_next"))
-        state = cut(
-            received.join(onward, received["jump"] == onward["_via"], "left").select(
-                "node", F.col("_next").alias("jump"), "flag"
-            )
-        )
-    return state.where("flag").select("node")
+    above, limit = seeds, _rounds(count["rows"] + 1)
+    while count["rows"]:
+        if not limit:
+            _raise_open("parents form a cycle", state)
+        sent = state.where("flag").select(F.col("jump").alias("node")).distinct()
+        above = above.unionByName(sent)
+        onward = state.select(F.col("node").alias("_via"), F.col("jump").alias("_next"))
+        # A pointer that leads to the top has nothing more to tell: only rows that can go on are written again.
+        moved = state.join(onward, state["jump"] == onward["_via"]).join(sent.withColumn("_now", F.lit(True)), "node", "left")
+        before = count["rows"]
+        state, count = cut_counting(moved.select("node", F.col("_next").alias("jump"), (F.col("flag") | F.col("_now").isNotNull()).alias("flag")))
+        if count["rows"] > before:
+            _raise_open("nodes are listed more than once", state)
+        limit -= 1
+    return inner.select("node").join(above.distinct(), "node", "left_semi")
 
 
 def paint_groups(nodes: DataFrame, reference: Column | None = None) -> DataFrame:

@@ -12,12 +12,16 @@ from cladeflow.operators.tree import new_tips, with_parent
 from cladeflow.params import SPECIES
 
 
-def tree_issues(nodes: DataFrame) -> DataFrame:
-    """``issue, node, genome`` for one tree.
+def tree_issues(nodes: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``issue, node, genome`` for one tree, or for one per value of the columns ``by``, which are then added.
 
     ``red_not_increasing`` and ``reference_below_new`` are harmless to naming as such: the first may
     let a rank be named twice on a path (the upper name then applies), the second is ignored.
     """
+    by = by or []
+    nodes = nodes.withColumns(
+        {name: F.when(F.col(name).isNotNull(), F.struct(*by, F.col(name).cast("bigint").alias("node"))) for name in ("node", "parent")}
+    )
     inner = nodes.where(F.col("genome").isNull()).select(
         "node",
         "parent",
@@ -52,13 +56,20 @@ def tree_issues(nodes: DataFrame) -> DataFrame:
     )
     named_twice = (
         new_tips(nodes)
-        .groupBy("genome")
+        .groupBy(*by, "genome")
         .agg(F.count(F.lit(1)).alias("count"), F.min("node").alias("node"))
         .where("count > 1")
         .select(F.lit("duplicate_genome").alias("issue"), "node", "genome")
     )
-    return reduce(DataFrame.unionByName, [found, orphans, twice, named_twice])
+    every = reduce(DataFrame.unionByName, [found, orphans, twice, named_twice])
+    return every.select("issue", F.col("node.node").alias("node"), "genome", *[F.col(f"node.{c}").alias(c) for c in by])
 
 
 def _names_of(checks: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(holds, F.lit(name)) for name, holds in checks.items()]))
+
+
+def table_issues(frame: DataFrame, key: list[str], issue: str) -> DataFrame:
+    """``issue, node, genome`` for ids that a table of genomes lists more than once; the id is the key's last column."""
+    repeated = frame.where(F.col(key[-1]).isNotNull()).groupBy(*key).count().where("count > 1")
+    return repeated.select(F.lit(issue).alias("issue"), F.lit(None).cast("bigint").alias("node"), F.col(key[-1]).alias("genome"))

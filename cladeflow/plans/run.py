@@ -12,8 +12,10 @@ from cladeflow.operators.catalogue import build_catalogue, genome_batches, trim_
 from cladeflow.operators.fill import Fill
 from cladeflow.operators.naming import Naming
 from cladeflow.operators.summary import summarise_clades
+from cladeflow.operators.validate import table_issues, tree_issues
 from cladeflow.params import DomainParams, as_domains
 from cladeflow.sources import tsv
+from cladeflow.session import cut
 from cladeflow.sources.newick import newick_file_edges
 
 
@@ -29,7 +31,32 @@ class Results:
 
     @property
     def clade_summary(self) -> DataFrame:
-        return summarise_clades(self.node_names)
+        """By domain if there are several."""
+        return summarise_clades(self.node_names, ["domain"] if "domain" in self.node_names.columns else None)
+
+
+# Findings that make results wrong or ambiguous; the others only tell of genomes left out.
+FATAL = ("missing_parent", "duplicate_node", "duplicate_genome", "duplicate_metadata", "duplicate_taxonomy")
+
+
+def input_issues(nodes: DataFrame, metadata: DataFrame, gtdb_taxonomy: DataFrame) -> DataFrame:
+    """``issue, node, genome``, with a domain column if ``nodes`` has one: checks on all inputs of a run."""
+    by = ["domain"] if "domain" in nodes.columns else []
+    found = tree_issues(nodes, by)
+    for frame, name, issue in ((metadata, "Name", "duplicate_metadata"), (gtdb_taxonomy, "genome", "duplicate_taxonomy")):
+        own = [c for c in by if c in frame.columns]
+        repeated = table_issues(frame, [*own, name], issue)
+        for column in by:
+            repeated = repeated.withColumn(column, F.lit(None).cast("string"))
+        found = found.unionByName(repeated)
+    return found
+
+
+def _raise(issues: DataFrame) -> None:
+    count = issues.count()
+    if count:
+        shown = "; ".join(f"{row.issue}: {row.genome if row.genome is not None else row.node}" for row in issues.take(20))
+        raise NamingError(f"{count} issues, such as {shown}")
 
 
 def name_and_fill(
@@ -38,12 +65,23 @@ def name_and_fill(
     gtdb_taxonomy: DataFrame,
     params: DomainParams | list[DomainParams],
     mode: str = "least_common",
+    strict: bool = False,
 ) -> Results:
-    """Both naming stages. ``nodes`` has a ``domain`` column if ``params`` has several domains."""
+    """Checks, then both naming stages. ``nodes`` has a ``domain`` column if ``params`` has several domains.
+
+    Inputs that are ambiguous (FATAL) raise in strict runs before anything is computed; else they are listed in ``issues``.
+    """
     domains = as_domains(params)
+    inputs = cut(input_issues(nodes, metadata, gtdb_taxonomy).where(F.col("issue").isin(*FATAL)))
+    if strict:
+        _raise(inputs)
     naming = Naming(nodes, metadata, domains)
     fill = Fill(nodes, naming.genomes, naming.node_names, gtdb_taxonomy, domains, mode)
-    return Results(fill.genomes, fill.node_names, naming.issues.unionByName(fill.issues))
+    left_out = naming.issues.unionByName(fill.issues)
+    issues = inputs.unionByName(left_out.withColumn("node", F.lit(None).cast("bigint")))
+    if strict:
+        _raise(issues)
+    return Results(fill.genomes, fill.node_names, issues)
 
 
 def annotate_tree_file(spark: SparkSession, newick: str, taxonomy: str, params: DomainParams) -> DataFrame:
@@ -82,15 +120,41 @@ def run_files(
             part.nodes,
             {name: tsv.schemas.NODES[name] for name in ("parent", "node", "nongtdb_group", "genome", "magset", "RED", "novelty_red")},
         ).withColumn("domain", F.lit(part.params.domain))
-        lineages = tsv.read_taxonomy(spark, part.taxonomy)
+        lineages = tsv.read_taxonomy(spark, part.taxonomy).withColumn("domain", F.lit(part.params.domain))
         nodes = tree if nodes is None else nodes.unionByName(tree)
         taxonomy = lineages if taxonomy is None else taxonomy.unionByName(lineages)
-    results = name_and_fill(nodes, tsv.read_metadata(spark, metadata), taxonomy, [part.params for part in inputs])
-    if strict and not results.issues.isEmpty():
-        raise NamingError("; ".join(f"{row.issue}: {row.genome}" for row in results.issues.take(20)))
+    results = name_and_fill(nodes, tsv.read_metadata(spark, metadata), taxonomy, [part.params for part in inputs], strict=strict)
+    write_results(results, out)
+    return results
+
+
+def write_results(results: Results, out: str) -> None:
+    """Tables below ``out`` with one subfolder per domain; node names in order of clade."""
+    names = results.node_names.orderBy("domain", "clade", F.col("node").asc_nulls_last())
     tsv.write_per_domain(results.genome_taxonomy, f"{out}/genome_taxonomy")
-    tsv.write_per_domain(results.node_names, f"{out}/node_names")
+    tsv.write_per_domain(names, f"{out}/node_names")
+    # few rows: sources by domain
+    tsv.write_per_domain(results.clade_summary.coalesce(1), f"{out}/clade_summary")
+
+
+@dataclass(frozen=True)
+class RawInputs:
+    """Files of one domain as they come: Newick tree with decorated labels, and reference taxonomy with full ids."""
+
+    params: DomainParams
+    tree: str
+    taxonomy: str
+
+
+def run_raw(spark: SparkSession, inputs: list[RawInputs], info: str, fasta_paths: str, out: str, strict: bool = False) -> Results:
+    """From trees, reference taxonomies and the genome catalogue to all outputs below ``out``: batches for the marker
+    search, trimmed taxonomies, annotated node tables, and the results of ``run_files``."""
+    export_batches(spark, info, fasta_paths, f"{out}/batches")
+    ready = []
     for part in inputs:
-        names = results.node_names.where(F.col("domain") == part.params.domain)
-        tsv.write_tsv(summarise_clades(names), f"{out}/clade_summary/domain={part.params.domain}")
-    return results
+        folder = f"{part.params.domain}"
+        preprocess_taxonomy(spark, part.taxonomy, f"{out}/taxonomy/{folder}")
+        annotated = annotate_tree_file(spark, part.tree, f"{out}/taxonomy/{folder}", part.params)
+        tsv.write_nodes(annotated, f"{out}/nodes/{folder}")
+        ready.append(DomainInputs(part.params, f"{out}/nodes/{folder}", f"{out}/taxonomy/{folder}"))
+    return run_files(spark, ready, info, out, strict)

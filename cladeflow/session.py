@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings for sessions this package builds itself (tests, bench). Sessions handed in keep theirs.
 DEFAULTS = {
@@ -50,6 +51,14 @@ def cut(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def cut_counting(frame: DataFrame, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """As ``cut``, with the number of rows and of those that fulfil each condition, counted while writing."""
+    seen = Observation()
+    exprs = {"rows": F.count(F.lit(1))} | {name: F.count_if(holds) for name, holds in counts.items()}
+    written = cut(frame.observe(seen, *[expr.alias(name) for name, expr in exprs.items()]))
+    return written, seen.get
+
+
 def drop_steps(spark: SparkSession) -> None:
     """Remove the step tables of this application. Frames that still read them are of no use afterwards."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))

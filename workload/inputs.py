@@ -62,7 +62,8 @@ def _balanced_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _irregular_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     node = F.col("o_orderkey") + 1
-    earlier = 1 + ((node * 7919 + 104729) % 1000003) % F.col("o_orderkey")
+    # A mixer whose modulus lies beyond any number of nodes in view.
+    earlier = 1 + ((node * 2654435761) % 4294967291) % F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(
         node.alias("node"),
         F.when(F.col("o_orderkey") == 0, 1)
@@ -170,7 +171,7 @@ base AS (
   SELECT o_orderkey + 1 AS node,
          CASE WHEN o_orderkey = 0 THEN 1
               WHEN o_orderpriority = '1-URGENT' AND o_orderkey > 1 THEN 2
-              ELSE 1 + (((o_orderkey + 1) * 7919 + 104729) % 1000003) % o_orderkey END AS parent,
+              ELSE 1 + (((o_orderkey + 1) * 2654435761) % 4294967291) % o_orderkey END AS parent,
          substr(o_orderpriority, 3) || '_' || o_orderkey AS id, o_totalprice > 495000 AS reference,
          o_custkey AS key, o_custkey AS extra
   FROM orders)""",

@@ -473,7 +473,7 @@ def t22_issues(spark, sf_dir):
         inputs.metadata(spark, sf_dir, TREE),
         inputs.taxonomy(spark, sf_dir, TREE),
         PARAMS[TREE],
-    ).issues
+    ).issues.select("issue", "genome")
 
 
 @query(
