@@ -22,6 +22,7 @@ from cladeflow.operators.tree import (
     paths,
     with_parent,
 )
+from cladeflow.operators.summary import PLURALS
 from cladeflow.operators.validate import tree_issues
 from cladeflow.plans.run import name_and_fill
 from cladeflow.session import shared_folder
@@ -463,6 +464,23 @@ def t22_names(spark, sf_dir):
     return _run_both(spark, sf_dir).node_names
 
 
+_COUNTS = ", ".join(f"count(*) FILTER (taxon_novelty = '{n[0]}') AS {n}" for n in PLURALS)
+
+
+@query(
+    "t17_domain_summary",
+    f"""WITH names AS ({_both("SELECT '{domain}' AS domain, clade, genome_rep FROM filled_names")}),
+        sources AS (
+          SELECT domain, CASE WHEN genome_rep LIKE 'MGYG%' THEN 'MGYG' WHEN genome_rep LIKE 'GWH%' THEN 'GWH'
+                   ELSE nullif(regexp_extract(genome_rep, '^([^_]+)', 1), '') END AS magset, clade[1] AS taxon_novelty
+          FROM names)
+        SELECT domain, CASE WHEN grouping(magset) = 1 THEN 'all' ELSE magset END AS magset, {_COUNTS}
+        FROM sources WHERE magset NOT IN ('GCA', 'GCF') GROUP BY GROUPING SETS ((domain, magset), (domain))""",
+)
+def t17_domains(spark, sf_dir):
+    return _run_both(spark, sf_dir).clade_summary
+
+
 @query(
     "t22_issues",
     _with(sql_filled(TREE), "SELECT 'no_phylum' AS issue, genome FROM final WHERE NOT settled"),
