@@ -107,9 +107,10 @@ def combine(read: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", host:
     hosts = hosts.select("_h", ((F.col("s") + k_host * mean) / (F.col("n") + k_host)).alias("host_rate"))
     sited = paths.join(hosts, "_h")
     k_path = _strength(sited, F.col("host_rate"))
+    sited = sited.select("_h", "_q", F.col("n").alias("_n"), F.col("s").alias("_s"), "host_rate")
     # the document itself is taken out of its path
-    rate = (F.col("s") - F.col("_p") + k_path * F.col("host_rate")) / (F.col("n") - 1 + k_path)
-    out = counted.join(sited.select("_h", "_q", "n", "s", "host_rate"), ["_h", "_q"]).withColumn("path_rate", rate)
+    rate = (F.col("_s") - F.col("_p") + k_path * F.col("host_rate")) / (F.col("_n") - 1 + k_path)
+    out = counted.join(sited, ["_h", "_q"]).withColumn("path_rate", rate)
     # odds of the prior that the evidence is relative to are those of the path
     out = out.withColumn("score", 1 / (1 + F.exp(-(_logit(F.col("path_rate")) + F.col("evidence")))))
-    return out.withColumn("kept", F.col("score") >= 0.5).drop("_h", "_q", "_p", "n", "s")
+    return out.withColumn("kept", F.col("score") >= 0.5).drop("_h", "_q", "_p", "_n", "_s")

@@ -123,9 +123,8 @@ def _segments(texts: DataFrame, window: int, shared) -> DataFrame:
 def _windows(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
     """The windows of the wanted segments, read in one text that has them."""
     lists = wanted.groupBy("key").agg(F.collect_list(F.struct("first", "windows", "anchor", "segment", "copies")).alias("at"))
-    both = texts.where(may_be_in(bit_filter(texts.sparkSession, lists.select("key")), F.col("_key"))).join(
-        lists, F.col("_key") == F.col("key")
-    )
+    own = texts.select("_key", "_text").where(may_be_in(bit_filter(texts.sparkSession, lists.select("key")), F.col("_key")))
+    both = own.join(lists, F.col("_key") == F.col("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profile = Profile(window)
@@ -229,8 +228,8 @@ def remove_repeated(documents: DataFrame, *, text: str = "text", window: int = W
     fields = [f for f in documents.schema.fields if f.name not in (*RESULT, text)]
     texts = documents.withColumn("_text", F.col(text)).withColumn("_key", F.xxhash64(F.struct(*documents.columns)))
     texts = texts.select(*[f"`{f.name}`" for f in fields], "_text", "_key")
-    marks = cut(confirm(texts, window))
-    shared = bit_filter(spark, marks.select("key"))
+    marks = cut(confirm(texts, window).select(F.col("key").alias("_at"), F.col("marks").alias("_marks")))
+    shared = bit_filter(spark, marks.select("_at"))
     schema = f"{ddl(fields)}, n_words bigint, n_removed bigint, kept_sha256 string" + (f", `{text}` string" if keep_text else "")
     types = (pa.int64(), pa.int64(), pa.string(), pa.string())[: 3 + keep_text]
 
@@ -252,10 +251,10 @@ def remove_repeated(documents: DataFrame, *, text: str = "text", window: int = W
                 a, b = np.searchsorted(sizes, [shard, shard + 1])
                 part = batch.slice(a, b - a)
                 words = [t.split() for t in all_texts[a:b]]
-                lists = part.column("marks").to_pylist()
+                lists = part.column("_marks").to_pylist()
                 covered = locate(words, [_recurring(len(w), m or [], window) for w, m in zip(words, lists, strict=True)])
                 yield result(part, [_kept(t, w, c, keep_text) for t, w, c in zip(all_texts[a:b], words, covered, strict=True)])
 
     rest = texts.mapInArrow(unmarked, schema)
-    hit = texts.where(may_be_in(shared, F.col("_key"))).join(marks, F.col("_key") == F.col("key"), "left").drop("key")
+    hit = texts.where(may_be_in(shared, F.col("_key"))).join(marks, F.col("_key") == F.col("_at"), "left")
     return rest.unionByName(hit.mapInArrow(marked, schema))
