@@ -9,31 +9,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cladeflow.session import cut
+from cladeflow.session import cut, cut_counting
 
-# Quoted label, punctuation, branch length, plain label.
-TOKEN = r"('[^']*'|[(),;]|:[0-9eE.+-]+|[^(),:;'\s]+)"
+# Quoted label (a doubled quote stands for one), comment, punctuation, branch length, plain label.
+TOKEN = r"('(?:[^']|'')*'|\[[^\]]*\]|[(),;]|:[0-9eE.+-]+|[^(),:;'\s\[]+)"
 PIECE = 65536
 
 
-def running_sums(frame: DataFrame, group: list[str], position: str, values: list[str], piece: int = PIECE) -> DataFrame:
-    """Replace the value columns by their running sums in order of ``position`` within each group.
+class NewickError(ValueError):
+    """A file that does not hold one tree."""
 
-    ``position`` counts from 0 without large gaps. A window never sees more than ``piece`` rows, or one
-    row per piece of a group; groups of one piece need no second step.
+
+def running(
+    frame: DataFrame, group: list[str], position: str, sums: list[str] = (), maxima: list[str] = (), piece: int = PIECE, short: bool = False
+) -> DataFrame:
+    """Replace value columns by their running sums or maxima in order of ``position`` within each group.
+
+    ``position`` counts from 0 without large gaps. A window never sees more than ``piece`` rows, or one row per piece of a
+    group. ``short`` says that no position reaches ``piece``; one window is then enough.
     """
+    values = {**dict.fromkeys(sums, F.sum), **dict.fromkeys(maxima, F.max)}
+    kept = [name for name in frame.columns if name not in values]
+    if short:
+        within = Window.partitionBy(*group).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+        return frame.select(*kept, *[total(name).over(within).alias(name) for name, total in values.items()])
     cut_up = frame.select("*", F.expr(f"{position} div {piece}").alias("_piece"))
-    totals = cut_up.groupBy(*group, "_piece").agg(*[F.sum(value).alias(f"_{value}") for value in values])
+    totals = cut_up.groupBy(*group, "_piece").agg(*[total(name).alias(f"_{name}") for name, total in values.items()])
     before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *group, "_piece", *[F.coalesce(F.sum(f"_{value}").over(before), F.lit(0)).alias(f"_{value}") for value in values]
+        *group, "_piece", *[total(f"_{name}").over(before).alias(f"_{name}") for name, total in values.items()]
     ).where("_piece > 0")
     within = Window.partitionBy(*group, "_piece").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    kept = [name for name in frame.columns if name not in values]
-    return cut_up.join(offsets, [*group, "_piece"], "left").select(
-        *kept,
-        *[(F.sum(value).over(within) + F.coalesce(f"_{value}", F.lit(0))).alias(value) for value in values],
-    )
+
+    def joined(name: str) -> Column:
+        own = values[name](name).over(within)
+        return F.greatest(own, f"_{name}") if name in maxima else own + F.coalesce(f"_{name}", F.lit(0))
+
+    return cut_up.join(offsets, [*group, "_piece"], "left").select(*kept, *[joined(name).alias(name) for name in values])
+
+
+def _tokens(text: str) -> Column:
+    """Tokens of a text, comments left out."""
+    return F.filter(F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(1)), lambda token: ~token.startswith("["))
 
 
 def _is_label(token: Column) -> Column:
@@ -46,7 +63,7 @@ def _length(token: Column) -> Column:
 
 def _in_context(texts: DataFrame, text: str, *columns: str) -> DataFrame:
     """``pos, token, prev, next, after`` per token of each text: its place and its neighbours."""
-    listed = texts.select(*columns, F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(1)).alias("_tokens"))
+    listed = texts.select(*columns, _tokens(text).alias("_tokens"))
     around = F.transform(
         "_tokens",
         lambda token, at: F.struct(
@@ -68,11 +85,14 @@ def text_tokens(trees: DataFrame) -> DataFrame:
 def file_tokens(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame:
     """The same for a file holding one tree, however large: the file is read in parallel, split at its
     commas. Stretches between commas are put in order by their place in the file, and joined again
-    where a comma belongs to a quoted label."""
+    where a comma belongs to a quoted label. Comments in files must not hold commas or quotes."""
     read = spark.read.option("lineSep", ",").text(path).select(
-        F.col("value"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
+        F.col("value"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
     )
     read = cut(read)
+    files = [row[0] for row in read.select("_file").distinct().take(2)]
+    if len(files) > 1:
+        raise NewickError(f"one file with one tree is asked for, found {' and '.join(files)}")
     blocks = read.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first"))
     # One row per split of the file.
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -85,10 +105,10 @@ def file_tokens(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame
         quotes.alias("_own"),
         quotes.alias("_quotes"),
     )
-    counted = running_sums(stretches, ["tree_id"], "at", ["_quotes"], piece)
+    counted = running(stretches, ["tree_id"], "at", ["_quotes"], piece=piece)
     opens = ((F.col("_quotes") - F.col("_own")) % 2 == 0).cast("int")
     segments = (
-        running_sums(counted.withColumn("segment", opens), ["tree_id"], "at", ["segment"], piece)
+        running(counted.withColumn("segment", opens), ["tree_id"], "at", ["segment"], piece=piece)
         .groupBy("tree_id", "segment")
         .agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("_parts"))
         .select("tree_id", "segment", F.array_join(F.transform("_parts", lambda part: part["value"]), ",").alias("text"))
@@ -100,8 +120,8 @@ def file_tokens(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame
             F.concat(F.when(F.col("segment") > 1, ",").otherwise(""), F.col("text"), F.lit(",")).alias("text"),
         )
     )
-    segments = cut(segments.withColumn("_count", F.regexp_count("text", F.lit(TOKEN)) - F.col("_lead")))
-    ends = running_sums(segments.select("tree_id", "segment", "_count", F.col("_count").alias("_end")), ["tree_id"], "segment", ["_end"], piece)
+    segments = cut(segments.withColumn("_count", F.size(_tokens("text")) - F.col("_lead")))
+    ends = running(segments.select("tree_id", "segment", "_count", F.col("_count").alias("_end")), ["tree_id"], "segment", ["_end"], piece=piece)
     placed = segments.drop("_count").join(
         ends.select("segment", (F.col("_end") - F.col("_count")).alias("_start")), "segment"
     )
@@ -115,8 +135,11 @@ def newick_edges(trees: DataFrame, piece: int = PIECE) -> DataFrame:
 
 
 def newick_file_edges(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame:
-    """``parent, node, branch_length, label`` for a file holding one tree."""
-    return edges(file_tokens(spark, path, piece), piece).drop("tree_id")
+    """``parent, node, branch_length, label`` for a file holding one tree; anything else raises NewickError."""
+    found, count = cut_counting(edges(file_tokens(spark, path, piece), piece).drop("tree_id"), roots=F.col("parent") == F.col("node"))
+    if count["roots"] != 1:
+        raise NewickError(f"{path} has {count['roots']} roots")
+    return found
 
 
 def edges(tokens: DataFrame, piece: int = PIECE) -> DataFrame:
@@ -145,72 +168,51 @@ def edges(tokens: DataFrame, piece: int = PIECE) -> DataFrame:
         opens.cast("int").alias("open_no"),
     )
     # Commas, labels and lengths are not counted themselves. Texts are taken apart once only.
-    marked = cut(marked.where("leaf or bracket is not null"))
-    counted = cut(running_sums(marked, ["tree_id"], "pos", ["depth", "tip_no", "open_no"], piece))
-
-    # A bracket and everything directly inside it share a level; the n-th bracket of a level is
-    # opened by its n-th "(" and closed by its n-th ")".
-    columns = ["tree_id", "pos", "leaf", "label", "branch_length", "end_label", "end_length", "tip_no", "open_no"]
-    opened = counted.where("bracket = 'open'")
-    events = (
-        opened.select(*columns, F.col("depth").alias("level"), F.lit("open").alias("role"))
-        .unionByName(opened.select(*columns, (F.col("depth") - 1).alias("level"), F.lit("child").alias("role")))
-        .unionByName(
-            counted.where("bracket = 'close'").select(*columns, (F.col("depth") + 1).alias("level"), F.lit("close").alias("role"))
-        )
-        .unionByName(
-            # A missing label may leave a leaf at its closing bracket, whose depth is one less.
-            counted.where("leaf").select(
-                *columns,
-                F.when(F.col("bracket") == "close", F.col("depth") + 1).otherwise(F.col("depth")).alias("level"),
-                F.lit("child").alias("role"),
+    marked, count = cut_counting(marked.where("leaf or bracket is not null"), long=F.col("pos") >= piece)
+    short = not count["long"]
+    counted = running(marked, ["tree_id"], "pos", ["depth", "tip_no", "open_no"], piece=piece, short=short)
+
+    # A bracket and everything directly inside it share a level. Along a level the bracket around a child, and the one
+    # a ")" closes, is the last that was opened.
+    number = F.lit(None).cast("bigint")
+    end = F.struct(F.col("end_label").alias("label"), F.col("end_length").alias("branch_length"))
+    own = F.struct("label", "branch_length")
+    none = F.lit(None).cast("struct<label:string,branch_length:double>")
+
+    def event(level: Column, role: str, around: Column, tip: Column, inner: Column, said: Column) -> Column:
+        return F.struct(level.alias("level"), F.lit(role).alias("role"), around.alias("around"), tip.alias("tip"), inner.alias("inner"), said.alias("said"))
+
+    depth, closed = F.col("depth"), F.coalesce(F.col("bracket") == "close", F.lit(False))
+    opened = F.coalesce(F.col("bracket") == "open", F.lit(False))
+    events = counted.select(
+        "tree_id",
+        "pos",
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.when(opened, event(depth, "open", F.col("open_no"), number, number, none)),
+                    F.when(opened, event(depth - 1, "child", number, number, F.col("open_no"), none)),
+                    # A missing label may leave a leaf at its closing bracket, whose depth is one less.
+                    F.when(F.col("leaf"), event(depth + closed.cast("int"), "child", number, F.col("tip_no"), number, own)),
+                    F.when(closed, event(depth + 1, "close", number, number, number, end)),
+                )
             )
-        )
-        .select(
-            "*",
-            (F.col("role") == "open").cast("int").alias("opened"),
-            (F.col("role") == "close").cast("int").alias("closed"),
-        )
-    )
-    events = cut(running_sums(events, ["tree_id", "level"], "pos", ["opened", "closed"], piece))
-
-    tip_counts = counted.groupBy("tree_id").agg(F.max("tip_no").alias("tips"))
-    internal = events.where("role = 'open'").select("tree_id", "level", F.col("opened").alias("nth"), "open_no")
-    children = events.where("role = 'child'").select(
-        "tree_id", "level", F.col("opened").alias("nth"), "leaf", "tip_no", F.col("open_no").alias("own_no"), "label", "branch_length"
-    )
-    closings = events.where("role = 'close'").select(
-        "tree_id", "level", F.col("closed").alias("nth"), "end_label", "end_length"
-    )
-    ends = internal.join(closings, ["tree_id", "level", "nth"]).select(
-        "tree_id", F.col("open_no").alias("own_no"), "end_label", "end_length"
-    )
-    placed = children.join(internal, ["tree_id", "level", "nth"], "left")
-    tips = placed.where("leaf").select(
-        "tree_id", "open_no", F.col("tip_no"), F.lit(None).cast("bigint").alias("own_no"), "label", "branch_length"
-    )
-    inner = (
-        placed.where("not leaf")
-        .drop("label", "branch_length", "tip_no")
-        .join(ends, ["tree_id", "own_no"], "left")
-        .select(
-            "tree_id",
-            "open_no",
-            F.lit(None).cast("bigint").alias("tip_no"),
-            "own_no",
-            F.col("end_label").alias("label"),
-            F.col("end_length").alias("branch_length"),
-        )
+        ).alias("event"),
+    ).select("tree_id", "pos", "event.*")
+    if not short:
+        events = cut(events)
+    located = running(events, ["tree_id", "level"], "pos", maxima=["around"], piece=piece, short=short).where("role <> 'open'")
+    closing = F.col("role") == "close"
+    # An inner node has two rows, one that tells its parent and one that tells its label.
+    rows = located.groupBy("tree_id", F.col("tip"), F.when(closing, F.col("around")).otherwise(F.col("inner")).alias("inner")).agg(
+        F.max(F.when(~closing, F.col("around"))).alias("around"), F.max("said").alias("said")
     )
-    node = F.when(F.col("tip_no").isNotNull(), F.col("tip_no")).otherwise(F.col("tips") + F.col("own_no"))
-    return (
-        tips.unionByName(inner)
-        .join(tip_counts, "tree_id")
-        .select(
-            "tree_id",
-            F.coalesce(F.col("tips") + F.col("open_no"), node).cast("bigint").alias("parent"),
-            node.cast("bigint").alias("node"),
-            "branch_length",
-            "label",
-        )
+    tip_counts = marked.groupBy("tree_id").agg(F.sum("tip_no").alias("tips"))
+    node = F.coalesce("tip", F.col("tips") + F.col("inner"))
+    return rows.join(tip_counts, "tree_id").select(
+        "tree_id",
+        F.coalesce(F.col("tips") + F.col("around"), node).cast("bigint").alias("parent"),
+        node.cast("bigint").alias("node"),
+        F.col("said.branch_length").alias("branch_length"),
+        F.col("said.label").alias("label"),
     )

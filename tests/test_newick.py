@@ -2,9 +2,11 @@
 
 import random
 
-from cladeflow.sources.newick import newick_edges, newick_file_edges
+import pytest
 
-LABELS = ["", "a_1", "'b|RED=1.000'", "0.98", "'0.9:g__X; s__X, y|RED=0.5'", "d.e-f"]
+from cladeflow.sources.newick import NewickError, newick_edges, newick_file_edges
+
+LABELS = ["", "'it''s doubled'", "a_1", "'b|RED=1.000'", "0.98", "'0.9:g__X; s__X, y|RED=0.5'", "d.e-f"]
 
 
 def random_newick(rng, depth):
@@ -81,3 +83,21 @@ def test_file_in_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted(found, key=repr) == numbered(tree)
+
+
+def test_star_and_comments(spark):
+    text = "(" + ",".join(f"t{k}[x:1]:{k}" for k in range(5000)) + ")[c]root;"
+    rows = newick_edges(spark.createDataFrame([(1, text)], "tree_id bigint, newick string"), 64)
+    assert rows.where("parent = 5001").count() == 5001 and rows.where("label = 'root'").first().node == 5001
+    assert rows.where("node = 4000").first().branch_length == 3999
+
+
+def test_one_file_with_one_tree(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.tree").write_text("(x,y)z;")
+    with pytest.raises(NewickError):
+        newick_file_edges(spark, str(tmp_path))
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "c.tree").write_text("(x,y)z;(v,w)u;")
+    with pytest.raises(NewickError):
+        newick_file_edges(spark, str(tmp_path / "two" / "c.tree"))
