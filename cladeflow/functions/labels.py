@@ -16,6 +16,10 @@ BOOTSTRAP = r"^[0-9]\.[0-9]{1,3}$"
 BOOTSTRAP_BEFORE_TAXA = r"(?<=')[0-9]\.[0-9]{1,3}(?=:)"
 TAXA_AFTER_BOOTSTRAP = r"(?<=:).*(?=')"
 GENOME = r"[^']+"
+# The same numbers of any length.
+LONG_RED_VALUE = r"(?<=\|RED=)[0-9]+(?:\.[0-9]+)?"
+LONG_BOOTSTRAP = r"^[0-9]+(?:\.[0-9]+)?$"
+LONG_BOOTSTRAP_BEFORE_TAXA = r"(?<=')[0-9]+(?:\.[0-9]+)?(?=:)"
 
 
 def without_red(label: Column) -> Column:
@@ -24,12 +28,12 @@ def without_red(label: Column) -> Column:
     return F.when(F.contains(bare, F.lit(":")), bare).otherwise(F.replace(bare, F.lit("'"), F.lit("")))
 
 
-def bootstrap(label: Column) -> Column:
+def bootstrap(label: Column, full: bool = False) -> Column:
     bare = without_red(label)
-    pair = F.regexp_substr(bare, F.lit(BOOTSTRAP_BEFORE_TAXA))
+    pair = F.regexp_substr(bare, F.lit(LONG_BOOTSTRAP_BEFORE_TAXA if full else BOOTSTRAP_BEFORE_TAXA))
     return (
         F.when(F.contains(bare, F.lit(":")), pair)
-        .when(bare.rlike(BOOTSTRAP), bare)
+        .when(bare.rlike(LONG_BOOTSTRAP if full else BOOTSTRAP), bare)
         .try_cast("double")
     )
 
@@ -41,21 +45,34 @@ def taxa(label: Column) -> Column:
     ).when(F.contains(bare, F.lit("__")), bare)
 
 
-def genome(label: Column) -> Column:
+def genome(label: Column, full: bool = False) -> Column:
     bare = without_red(label)
-    other = F.contains(bare, F.lit(":")) | bare.rlike(BOOTSTRAP) | F.contains(bare, F.lit("__"))
+    number = bare.rlike(LONG_BOOTSTRAP if full else BOOTSTRAP)
+    other = F.contains(bare, F.lit(":")) | number | F.contains(bare, F.lit("__"))
     return F.when(~other, F.regexp_substr(bare, F.lit(GENOME)))
 
 
-def red(label: Column) -> Column:
-    """RED as written in the label, at most three decimals; null without a RED suffix."""
-    return F.regexp_substr(label, F.lit(RED_VALUE)).try_cast("double")
+def red(label: Column, full: bool = False) -> Column:
+    """RED as written in the label, at most three decimals unless ``full``; null without a RED suffix."""
+    return F.regexp_substr(label, F.lit(LONG_RED_VALUE if full else RED_VALUE)).try_cast("double")
 
 
-def label_columns(label: Column) -> dict[str, Column]:
+def label_columns(label: Column, full: bool = False) -> dict[str, Column]:
+    """Parts of a label. Numbers have one digit and up to three decimals, as tree files write them; a longer RED is cut and
+    a longer bootstrap taken for a name, which ``label_issue`` tells. ``full`` reads numbers of any length."""
     return {
-        "RED": red(label),
-        "bootstrap": bootstrap(label),
+        "RED": red(label, full),
+        "bootstrap": bootstrap(label, full),
         "taxa": taxa(label),
-        "genome": genome(label),
+        "genome": genome(label, full),
     }
+
+
+def label_issue(label: Column) -> Column:
+    """What is lost of a label's numbers: ``red_cut``, ``number_as_genome``, ``bootstrap_lost``, or null."""
+    lost = F.coalesce(bootstrap(label, True).isNotNull() & bootstrap(label).isNull(), F.lit(False))
+    return (
+        F.when(~red(label).eqNullSafe(red(label, True)), "red_cut")
+        .when(lost & genome(label).isNotNull(), "number_as_genome")
+        .when(lost, "bootstrap_lost")
+    )

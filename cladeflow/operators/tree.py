@@ -118,27 +118,30 @@ def nearest_marked(nodes: DataFrame, marked: str = "marked") -> DataFrame:
     return jump_until_done(state).select("node", F.col("jump").alias("reached"))
 
 
-def ancestors(nodes: DataFrame) -> DataFrame:
-    """All proper ancestors: ``node, ancestor, distance``, distance 1 for the parent.
+def ancestors(nodes: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """All proper ancestors of the wanted nodes (a column ``node``; all nodes if there is none):
+    ``node, ancestor, distance``, distance 1 for the parent.
 
-    The result has one row per node and ancestor; use it where that is what is asked for.
+    The result has one row per wanted node and ancestor, which is all that is ever built besides one pointer per node.
     """
-    closure, count = cut_counting(
-        nodes.where(~_is_root()).select("node", F.col("parent").alias("ancestor"), F.lit(1).cast("bigint").alias("distance"))
-    )
-    span, limit = 1, _rounds(count["rows"] + 1)
+    edges = nodes.where(~_is_root()).select("node", F.col("parent").alias("ancestor"))
+    pointers, count = cut_counting(edges)
+    limit = _rounds(count["rows"] + 1)
+    starts = pointers if wanted is None else pointers.join(wanted.select("node").distinct(), "node", "left_semi")
+    closure = cut(starts.withColumn("distance", F.lit(1).cast("bigint")))
+    span = 1
     while True:
-        ends = closure.where(F.col("distance") == span).alias("near")
-        further = (
-            ends.join(closure.alias("far"), F.col("near.ancestor") == F.col("far.node"))
-            .select("near.node", "far.ancestor", (F.col("far.distance") + span).alias("distance"))
+        # Whoever is up to 2^k away is known, and for each node the one 2^k above it.
+        above = pointers.select(F.col("node").alias("_via"), F.col("ancestor").alias("_next"))
+        further, count = cut_counting(
+            closure.join(above, closure["ancestor"] == above["_via"]).select("node", F.col("_next").alias("ancestor"), (F.col("distance") + span).alias("distance"))
         )
-        further, count = cut_counting(further)
         if not count["rows"]:
             return closure
         if not limit:
             _raise_open("parents form a cycle", further)
         closure = closure.unionByName(further)
+        pointers = cut(pointers.join(above, pointers["ancestor"] == above["_via"]).select("node", F.col("_next").alias("ancestor")))
         span, limit = span * 2, limit - 1
 
 

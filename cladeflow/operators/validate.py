@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cladeflow.functions.labels import label_issue
 from cladeflow.functions.ranks import rank_index, rank_word
 from cladeflow.operators.tree import new_tips, with_parent
 from cladeflow.params import SPECIES
@@ -69,6 +70,12 @@ def _names_of(checks: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(holds, F.lit(name)) for name, holds in checks.items()]))
 
 
+def label_issues(raw_nodes: DataFrame) -> DataFrame:
+    """``issue, node, genome`` for labels whose numbers are not read as they stand; genome is the label."""
+    found = raw_nodes.select(label_issue(F.col("label")).alias("issue"), "node", F.col("label").alias("genome"))
+    return found.where(F.col("issue").isNotNull())
+
+
 def table_issues(frame: DataFrame, key: list[str], issue: str) -> DataFrame:
     """``issue, node, genome`` for ids that a table of genomes lists more than once; the id is the key's last column."""
     repeated = frame.where(F.col(key[-1]).isNotNull()).groupBy(*key).count().where("count > 1")

@@ -84,9 +84,9 @@ def name_and_fill(
     return Results(fill.genomes, fill.node_names, issues)
 
 
-def annotate_tree_file(spark: SparkSession, newick: str, taxonomy: str, params: DomainParams) -> DataFrame:
+def annotate_tree_file(spark: SparkSession, newick: str, taxonomy: str, params: DomainParams, full_numbers: bool = False) -> DataFrame:
     """Annotated nodes of a Newick file with one tree, reference genomes marked by the taxonomy file."""
-    return annotate_nodes(newick_file_edges(spark, newick), tsv.read_taxonomy(spark, taxonomy), params)
+    return annotate_nodes(newick_file_edges(spark, newick), tsv.read_taxonomy(spark, taxonomy), params, full_numbers)
 
 
 def export_batches(spark: SparkSession, info: str, fasta_paths: str, out: str) -> None:

@@ -16,15 +16,18 @@ def _reader(spark: SparkSession, null: str):
 
 
 def read_headered(spark: SparkSession, path: str, columns: dict[str, str], null: str = "") -> DataFrame:
-    """The named columns of a table with a header line, in whatever order the file has them."""
+    """The named columns of a table with a header line, in whatever order the file has them.
+
+    Part files of one table must agree in their header; Spark raises otherwise.
+    """
     present = _reader(spark, null).option("header", True).csv(path).columns
     renamed = [name.replace(".", "_") for name in present]
     missing = set(columns) - set(renamed)
     if missing:
         raise ValueError(f"{path} lacks {sorted(missing)}")
-    types = {name: columns.get(name, "string") for name in renamed}
-    frame = _reader(spark, null).option("header", True).schema(schemas.ddl(types)).csv(path)
-    return frame.select(*columns)
+    types = {name: columns.get(new, "string") for name, new in zip(present, renamed, strict=True)}
+    reader = _reader(spark, null).option("header", True).option("enforceSchema", False)
+    return reader.schema(schemas.ddl(types)).csv(path).toDF(*renamed).select(*columns)
 
 
 def read_headerless(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:

@@ -12,6 +12,7 @@ from cladeflow.functions.labels import label_columns
 from cladeflow.functions.ranks import novelty_red, rank_index, rank_word, red_rank, with_cutoffs
 from cladeflow.functions.taxonomy import below_anchor
 from cladeflow.operators.catalogue import build_catalogue, genome_batches, genome_metadata, trim_accessions
+from cladeflow.operators.validate import label_issues
 from cladeflow.operators.summary import clade_sources, counts_by_rank, summarise_clades, with_total
 from cladeflow.params import preset
 from cladeflow.session import cut, shared_folder
@@ -224,6 +225,31 @@ def labels(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), label.alias("label"))
 
 
+@query(
+    "x3_x7_label_issues",
+    """SELECT o_orderkey AS key,
+         CASE o_orderkey % 4 WHEN 0 THEN 'red_cut' WHEN 1 THEN 'number_as_genome' ELSE 'bootstrap_lost' END AS issue,
+         CASE o_orderkey % 4 WHEN 0 THEN TRY_CAST('0.1234' || o_orderkey AS DOUBLE) END AS full_red,
+         CASE o_orderkey % 4 WHEN 1 THEN TRY_CAST('0.9876' || o_orderkey AS DOUBLE) WHEN 2 THEN 100e0 END AS full_bootstrap
+       FROM orders WHERE o_orderkey % 4 < 3""",
+)
+def label_numbers(spark, sf_dir):
+    """Labels with numbers longer than tree files usually have; a fourth of them has none."""
+    key = F.col("o_orderkey").cast("string")
+    kind = F.col("o_orderkey") % 4
+    label = (
+        F.when(kind == 0, F.concat(F.lit("'ord_"), key, F.lit("|RED=0.1234"), key, F.lit("'")))
+        .when(kind == 1, F.concat(F.lit("0.9876"), key))
+        .when(kind == 2, F.concat(F.lit("'100:g__G"), key, F.lit("'")))
+        .otherwise(F.lit("'0.9:g__G|RED=0.123'"))
+    )
+    found = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("node"), label.alias("label"))
+    parts = label_columns(F.col("genome"), full=True)
+    return label_issues(found).select(
+        F.col("node").alias("key"), "issue", parts["RED"].alias("full_red"), parts["bootstrap"].alias("full_bootstrap")
+    )
+
+
 @query(
     "x3_x4_x5_x6_x7_labels",
     f"""WITH {SQL_LABELS} SELECT key,

@@ -195,20 +195,26 @@ def j8(spark, sf_dir):
 # --- traversals ---------------------------------------------------------------------------------------------
 
 
-@query("t1_ancestors", _with(sql_tree("balanced"), "SELECT node, ancestor, distance FROM path"))
+_NEW_TIPS = "node IN (SELECT node FROM nodes WHERE genome IS NOT NULL AND magset <> 'GTDB')"
+
+
+@query("t1_ancestors", _with(sql_tree("balanced"), f"SELECT node, ancestor, distance FROM path WHERE {_NEW_TIPS}"))
 def t1(spark, sf_dir):
-    return ancestors(inputs.nodes(spark, sf_dir, "balanced"))
+    nodes = inputs.nodes(spark, sf_dir, "balanced")
+    return ancestors(nodes, new_tips(nodes))
 
 
 @query(
     "t1_ancestor_paths",
     _with(
         sql_tree(TREE),
-        "SELECT node, string_agg(CAST(ancestor AS VARCHAR), '>' ORDER BY distance) AS parents FROM path GROUP BY node",
+        f"""SELECT node, string_agg(CAST(ancestor AS VARCHAR), '>' ORDER BY distance) AS parents
+            FROM path WHERE {_NEW_TIPS} GROUP BY node""",
     ),
 )
 def t1_paths(spark, sf_dir):
-    listed = paths(ancestors(inputs.nodes(spark, sf_dir, TREE)))
+    nodes = inputs.nodes(spark, sf_dir, TREE)
+    listed = paths(ancestors(nodes, new_tips(nodes)))
     return listed.select("node", F.array_join(F.col("parents").cast("array<string>"), ">").alias("parents"))
 
 
