@@ -7,7 +7,6 @@ mean contrasts of its words and by its repetition, all over the whole text.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,18 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeflow.llm.common import CACHED_WORDS, raw
-from cladeflow.llm.quality_rules import measure
 
 PER_CLASS, BUCKETS, SHRINK = 2500, 1 << 17, 3.0
-_LOWER, _UPPER, _DIGIT, _MORE = (re.compile(p) for p in (rb"[a-z\x80-\xff]+", rb"[A-Z]+", rb"[0-9]+", rb"([^aA0])\1+"))
-_BARE = re.compile(rb"^[^0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff]+$")
+# Letters and digits by kind; all else stands for itself.
+_KIND = bytes(
+    ord("a") if 97 <= c <= 122 or c > 127 else ord("A") if 65 <= c <= 90 else ord("0") if 48 <= c <= 57 else c for c in range(256)
+)
+_OUTER = bytes(c for c in range(128) if not chr(c).isalpha())
 
 
 def buckets(word: bytes) -> tuple[int, int, int]:
-    """Of the bare word, its beginning, and its shape."""
-    shape = _MORE.sub(rb"\1+", _DIGIT.sub(b"0", _UPPER.sub(b"A", _LOWER.sub(b"a", word))))[:8]
-    bare = _BARE.sub(b"", word.lower())
-    return tuple(xxhash.xxh64_intdigest(x) % BUCKETS for x in (bare, b"^" + bare[:5], b"#" + shape))
+    """Of the bare word, its beginning, and its shape (kinds of its first two and last four bytes)."""
+    kinds = word.translate(_KIND)
+    bare = word.lower().strip(_OUTER)
+    return tuple(xxhash.xxh64_intdigest(x) % BUCKETS for x in (bare, b"^" + bare[:5], b"#" + kinds[:2] + kinds[-4:]))
 
 
 @dataclass
@@ -77,8 +78,8 @@ def describe(known: Contrasts, text: bytes) -> np.ndarray:
     if not n:
         return np.zeros(2 * known.rows.shape[1] + 4, np.float32)
     rows = known.of(words)
-    count = measure(text)
-    share = (count[4] / n, count[3] / max(count[5], 1), np.log1p(n) / 10, 1.0)
+    lines = text.split(b"\n")
+    share = (len(set(words)) / n, len(set(lines)) / len(lines), np.log1p(n) / 10, 1.0)
     return np.concatenate([rows.max(axis=0), rows.mean(axis=0, dtype=np.float64) * 5, share])
 
 
