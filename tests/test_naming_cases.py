@@ -2,7 +2,7 @@
 
 import pytest
 
-from cladeflow import preset
+from cladeflow import name_clades, preset
 from cladeflow.operators.naming import Naming
 from cladeflow.operators.validate import tree_issues
 from cladeflow.plans.run import name_and_fill
@@ -75,6 +75,64 @@ CASES = {
         },
         {(2, "o__f1"), (3, "f__f1")},
     ),
+    # Node 1 is farther from the phylum median than the root, so the phylum is known and the class new.
+    "anchor_at_phylum": (
+        Tree({0: (0, 0.3), 1: (0, 0.388)}, {"n0": 1, "n1": 1}, {"n1": 90}, {"n0": REFERENCE}),
+        {"n1": lineage("1", ["n1"] * 4, "n1")},
+        set(),
+    ),
+    # Of reference nodes with equal RED the lowest is the anchor; it is no closer than the one above.
+    "anchor_below_its_equal": (
+        Tree({0: (0, 0.3), 1: (0, 0.388), 2: (1, 0.388)}, {"u0": 2, "u1": 2}, {"u1": 90}, {"u0": REFERENCE}),
+        {"u1": lineage("2", ["u1"] * 4, "u1")},
+        set(),
+    ),
+    # Node 2 is an order like node 1 above it, which is closer to the median and keeps what it bears.
+    "parent_closer": (
+        Tree({0: (0, 0.25), 1: (0, 0.6), 2: (1, 0.66)}, {"p1": 2, "p2": 1}, {"p1": 90, "p2": 80}),
+        {"p1": lineage("d__Bacteria", ["p1"] * 5, "p1"), "p2": lineage("d__Bacteria", ["p1", "p1", "p2", "p2", "p2"], "p2")},
+        {(1, "p__p1"), (1, "c__p1"), (2, "o__p1")},
+    ),
+    # Three orders in a row: the middle one is closer than the first and gives way to its child.
+    "three_of_a_rank": (
+        Tree(
+            {0: (0, 0.25), 1: (0, 0.55), 2: (1, 0.57), 3: (2, 0.66)}, {"q1": 3, "q2": 2, "q3": 1}, {"q1": 90, "q2": 80, "q3": 70}
+        ),
+        {
+            "q1": lineage("d__Bacteria", ["q1"] * 5, "q1"),
+            "q2": lineage("d__Bacteria", ["q1", "q1", "q2", "q2", "q2"], "q2"),
+            "q3": lineage("d__Bacteria", ["q1", "q1", "q3", "q3", "q3"], "q3"),
+        },
+        {(1, "p__q1"), (1, "c__q1"), (3, "o__q1")},
+    ),
+    # Node 2 spans three ranks, of which the reference parent supplies the first.
+    "first_of_three_supplied": (
+        Tree({0: (0, 0.44), 1: (0, 0.52), 2: (1, 0.9)}, {"r0": 1, "r1": 2, "r2": 2, "r3": 1}, {"r1": 90, "r2": 80, "r3": 70}, {"r0": REFERENCE}),
+        {
+            "r1": lineage("1", ["r1"] * 3, "r1"),
+            "r2": lineage("1", ["r1", "r1", "r2"], "r2"),
+            "r3": lineage("1", ["r3"] * 3, "r3"),
+        },
+        {(2, "o__r1"), (2, "f__r1")},
+    ),
+    # Within the species range a node bears the genus, never the species.
+    "species_range": (
+        Tree({0: (0, 0.25), 1: (0, 0.9), 2: (1, 0.98)}, {"s1": 2, "s2": 2}, {"s1": 90, "s2": 80}),
+        {"s1": lineage("d__Bacteria", ["s1"] * 5, "s1"), "s2": lineage("d__Bacteria", ["s1"] * 5, "s2")},
+        {(1, "p__s1"), (1, "c__s1"), (1, "o__s1"), (1, "f__s1"), (2, "g__s1")},
+    ),
+    # Two clades below one phylum: the second one's leader follows the first, and hands that on.
+    "two_leaders": (
+        Tree(
+            {0: (0, 0.25), 1: (0, 0.55), 2: (1, 0.9), 3: (1, 0.9)}, {"t1": 2, "t2": 3, "t3": 3}, {"t1": 90, "t2": 80, "t3": 70}
+        ),
+        {
+            "t1": lineage("d__Bacteria", ["t1"] * 5, "t1"),
+            "t2": lineage("d__Bacteria", ["t1", "t1", "t2", "t2", "t2"], "t2"),
+            "t3": lineage("d__Bacteria", ["t1", "t1", "t2", "t2", "t3"], "t3"),
+        },
+        {(1, "p__t1"), (1, "c__t1"), (2, "o__t1"), (2, "f__t1"), (3, "o__t2"), (3, "f__t2")},
+    ),
     # Equal quality: the later id in byte order comes first.
     "equal_quality": (
         Tree({0: (0, 0.25), 1: (0, 0.55)}, {"g1": 1, "g_": 1}, {"g1": 90, "g_": 90}),
@@ -94,8 +152,8 @@ def outcome(spark):
     for number, (tree, _, _) in enumerate(CASES.values()):
         rows += tree.rows(BACTERIA, number * STRIDE)
         quality += [(genome, float(value), 0.0) for genome, value in tree.quality.items()]
-    run = Naming(spark.createDataFrame(rows, NODE_DDL), spark.createDataFrame(quality, METADATA_DDL), (BACTERIA,))
-    return {row.genome: row.taxonomy for row in run.genomes.collect()}, [tuple(row) for row in run.node_names.collect()]
+    genomes, names = name_clades(spark.createDataFrame(rows, NODE_DDL), spark.createDataFrame(quality, METADATA_DDL), "d__Bacteria")
+    return {row.genome: row.taxonomy for row in genomes.collect()}, [tuple(row) for row in names.collect()]
 
 
 @pytest.mark.parametrize("name", CASES)
