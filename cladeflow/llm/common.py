@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 # Size in bits of the filters that spare rows a shuffle. They only ever let too many rows pass.
 FILTER_BITS = 1 << 26
 # A worker forgets its cached words beyond this number.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 
 
 def held_out(doc_id: str, remainder: int) -> Column:
@@ -43,7 +43,7 @@ def text_map(frame: DataFrame, schema: str, column: str, per_text: Callable[[byt
 
     @F.arrow_udf(f"struct<{schema.replace(' ', ':').replace(',:', ',')}>")
     def read(texts: pa.Array) -> pa.Array:
-        rows = [per_text(text or b"") for text in texts.cast(pa.binary()).to_pylist()]
+        rows = [per_text(text) for text in stream(texts)]
         return pa.array([dict(zip(names, row, strict=True)) for row in rows], pa.struct([(n, kinds[k]) for n, k in fields]))
 
     kinds = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
@@ -97,6 +97,22 @@ def may_be_in(shared, key: Column) -> Column:
     return known(key)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts vary from nothing to megabytes, so what goes to Python at a time is bounded in bytes, not only in rows.
+
+    A session with a bound of its own keeps it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in (None, "-1b", "67108864b"):
+        spark.conf.set(name, "4m")
+
+
+def stream(column: pa.Array) -> Iterator[bytes]:
+    """As raw, text by text; only a few texts are copied at a time."""
+    for k in range(0, len(column), 128):
+        yield from (x or b"" for x in column.slice(k, 128).cast(pa.binary()).to_pylist())
+
+
 def columns_of(schema_fields, batch: pa.RecordBatch) -> list[pa.Array]:
     return [batch.column(f.name) for f in schema_fields]
 

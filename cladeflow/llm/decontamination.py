@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladeflow.llm.common import normal_words, raw
+from cladeflow.llm.common import normal_words, raw, stream
 
 WINDOW = 13
 MAX_CHARS = 4_000_000
@@ -94,7 +94,7 @@ def _scan(documents: DataFrame, automaton, column: str) -> DataFrame:
         for batch in batches:
             earlier = zip(batch.column("items").to_pylist(), batch.column("_ranges").to_pylist(), strict=True) if before else ()
             rows: list[list] = [[], [], [], [], []]
-            for k, (text, more) in enumerate(zip(raw(batch, column), earlier or [([], [])] * batch.num_rows, strict=True)):
+            for k, (text, more) in enumerate(zip(stream(batch.column(column)), earlier or [([], [])] * batch.num_rows, strict=True)):
                 n, ranges, items = _find(shared.value, text)
                 ranges, items = ranges + more[1], items.union(more[0])
                 merged = _merged(ranges)

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeflow.llm import contrast
+from cladeflow.llm.common import stream
 from cladeflow.session import cut
 
 # A reader's shares of tokens: what the labels call good, poor and toxic.
@@ -57,22 +58,24 @@ def fit_domains(documents: DataFrame, labels: DataFrame, domain: Column, domains
     return contrast.train(texts, classes, share)
 
 
-def posterior(documents: DataFrame, model: contrast.Model, *, text: str = "text") -> DataFrame:
-    """The documents with _tokens and _posterior; only the text goes to Python."""
+def posterior(documents: DataFrame, model: contrast.Model, gaps: list[np.ndarray] | None = None, *, text: str = "text", most: float = MOST,
+              ridge: float = RIDGE) -> DataFrame:
+    """The documents with _tokens, _posterior and, given the gaps, _rate; only the text goes to Python."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("struct<tokens:bigint,p:array<double>>")
+    @F.arrow_udf("struct<tokens:bigint,p:array<double>,rate:double>")
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = contrast.Contrasts(shared.value.table)
         for texts in batches:
-            said = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
-            p = [contrast.posterior(shared.value, known, t).tolist() for t in said]
+            found = [(len(t.split()), contrast.posterior(shared.value, known, t)) for t in stream(texts)]
+            p = np.array([p for _, p in found]).reshape(len(found), shared.value.classes)
             yield pa.StructArray.from_arrays(
-                [pa.array([len(t.split()) for t in said], pa.int64()), pa.array(p, pa.list_(pa.float64()))], names=["tokens", "p"]
+                [pa.array([n for n, _ in found], pa.int64()), pa.array(list(p), pa.list_(pa.float64())), pa.array(rates(p, gaps or [], most, ridge)[0])],
+                names=["tokens", "p", "rate"],
             )
 
     return documents.withColumn("_r", read(F.col(text))).select(
-        *[f"`{c}`" for c in documents.columns], F.col("_r.tokens").alias("_tokens"), F.col("_r.p").alias("_posterior")
+        *[f"`{c}`" for c in documents.columns], F.col("_r.tokens").alias("_tokens"), F.col("_r.p").alias("_posterior"), F.col("_r.rate").alias("_rate")
     )
 
 
@@ -107,18 +110,23 @@ def _expected(rows: DataFrame, gaps: list[np.ndarray], most: float, ridge: float
     return np.array([[r["now"] for r in sums], [r["next"] for r in sums]]), sums[0]["tokens"] if sums else 0.0
 
 
-def apply_rates(members: DataFrame, gaps: list[np.ndarray], domains: list[str], *, doc_id: str = "doc_id", most: float = MOST, ridge: float = RIDGE) -> DataFrame:
-    """Rows of posterior() with n_tokens, p_<domain>, rate and copies instead of _tokens and _posterior."""
+def with_rates(members: DataFrame, gaps: list[np.ndarray], *, most: float = MOST, ridge: float = RIDGE) -> DataFrame:
+    """Rows of posterior() with the rates that follow from the gaps."""
 
     @F.pandas_udf("double")
     def rate(p: pd.Series) -> pd.Series:
         return pd.Series(rates(np.stack(p.to_numpy()), gaps, most, ridge)[0] if len(p) else [], dtype="float64")
 
+    return members.withColumn("_rate", rate("_posterior"))
+
+
+def shown(members: DataFrame, domains: list[str], *, doc_id: str = "doc_id") -> DataFrame:
+    """Rows of posterior() with n_tokens, p_<domain>, rate and copies."""
     draw = F.pmod(F.xxhash64(F.lit("copies"), doc_id), F.lit(1 << 30)) / float(1 << 30)
-    shown = {f"p_{d}": F.col("_posterior")[k] for k, d in enumerate(domains)}
-    return members.drop("n_tokens", "rate", "copies", *shown).withColumn("rate", rate("_posterior")).withColumns(
-        {"n_tokens": F.col("_tokens"), **shown, "copies": F.floor(F.col("rate") + draw).cast("bigint")}
-    ).drop("_tokens", "_posterior")
+    parts = {f"p_{d}": F.col("_posterior")[k] for k, d in enumerate(domains)}
+    return members.drop("n_tokens", "rate", "copies", *parts).withColumns(
+        {"rate": F.col("_rate"), "n_tokens": F.col("_tokens"), **parts, "copies": F.floor(F.col("_rate") + draw).cast("bigint")}
+    ).drop("_tokens", "_posterior", "_rate")
 
 
 def label_domain(quality: str = "quality", toxic: str = "toxic") -> Column:
@@ -130,6 +138,6 @@ def mix(documents: DataFrame, labels: DataFrame, *, targets: dict[str, float] =
     """The documents, text included, with n_tokens, p_<domain>, rate and copies. Texts are read once to fit and once here."""
     domains = list(targets)
     model = fit_domains(documents, labels, label_domain() if domain is None else domain, domains, doc_id=doc_id, text=text)
-    members = posterior(documents, model, text=text)
-    gaps = fit_rates(cut(members.select("_tokens", "_posterior")), np.array(list(targets.values())))
-    return apply_rates(members, gaps, domains, doc_id=doc_id)
+    members = cut(posterior(documents, model, text=text).select("_tokens", "_posterior"))
+    gaps = fit_rates(members, np.array(list(targets.values())))
+    return shown(posterior(documents, model, gaps, text=text), domains, doc_id=doc_id)

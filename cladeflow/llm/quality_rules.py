@@ -3,8 +3,8 @@
 Base rules are fixed: too few words, too many repeated ones. On top of them each rule of ``RULES`` has a cutoff for each
 stratum (by default the language), chosen from labelled documents:
 
-1. On one half of the labelled rows, the cutoff of the rule's grid that best parts good from bad rows.
-2. On the other half, cutoffs are tested from the loosest to that one. A cutoff is certified if the exact binomial
+1. On a third of the labelled rows, the cutoff of the rule's grid that best parts good from bad rows.
+2. On the other rows, cutoffs are tested from the loosest to that one. A cutoff is certified if the exact binomial
    probability of seeing so few false rejections, were their rate above the rule's share of ``risk``, is at most the
    error level. Testing stops at the first failure (a fixed sequence needs no correction); levels are divided by the
    number of rules and strata (Bonferroni), so all guarantees hold together with probability 1 - ``error``. A
@@ -116,7 +116,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", s
     rows = measured.where("not base_failed").join(known, F.col(doc_id) == F.col("_id")).select(
         _stratum(stratum).alias("stratum"),
         (F.col("_good") > 0).alias("good"),
-        (F.pmod(F.xxhash64("_id"), F.lit(2)) == 0).alias("fit"),
+        (F.pmod(F.xxhash64("_id"), F.lit(3)) == 0).alias("fit"),
         F.explode(F.array(*[
             F.struct(F.lit(name).alias("rule"), sum((F.coalesce(value, F.lit(0.0)) <= c).cast("int") for c in GRID).alias("place"))
             for name, (a, b) in RULES.items()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import uuid
 
 from cladeflow.llm import decontamination, html_extraction, lm_scoring, mixing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, token_counts, toxicity
-from cladeflow.llm.common import held_out
+from cladeflow.llm.common import bounded_batches, held_out
 from cladeflow.session import cut, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,7 @@ def _query(name: str, sql: str | None = None):
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -174,4 +175,4 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = mixing.fit_domains(documents, labels, mixing.label_domain(), domains)
     members = cut(mixing.posterior(documents, model).drop("text"))
     gaps = mixing.fit_rates(members, np.array(list(mixing.TARGETS.values())))
-    return mixing.apply_rates(members, gaps, domains)
+    return mixing.shown(mixing.with_rates(members, gaps), domains)

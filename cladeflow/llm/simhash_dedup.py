@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladeflow.llm.common import columns_of, ddl, raw
+from cladeflow.llm.common import columns_of, ddl, stream
 from cladeflow.session import cut
 
 RADIUS = 4
@@ -69,7 +69,7 @@ def fingerprints(documents: DataFrame, *, text: str = "text", shingle: int = SHI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = pa.array([fingerprint(t, shingle) for t in raw(batch, text)], pa.int64())
+            found = pa.array([fingerprint(t, shingle) for t in stream(batch.column(text))], pa.int64())
             yield pa.RecordBatch.from_arrays([*columns_of(fields, batch), found], names=[*(f.name for f in fields), "_fp"])
 
     return documents.mapInArrow(run, f"{ddl(fields)}, _fp bigint" if fields else "_fp bigint")

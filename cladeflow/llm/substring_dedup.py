@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladeflow.llm.common import WordIds, bit_filter, columns_of, ddl, may_be_in, passes, raw
+from cladeflow.llm.common import WordIds, bit_filter, columns_of, ddl, may_be_in, passes, raw, stream
 from cladeflow.session import cut
 
 WINDOW = 35
@@ -90,7 +90,7 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
         profile = Profile(window)
         for batch in batches:
             found = [np.empty(0, np.int64)]
-            for text in raw(batch, "_text"):
+            for text in stream(batch.column("_text")):
                 words = text.split()
                 if len(words) >= window:
                     profile.read(words)
@@ -106,7 +106,7 @@ def _segments(texts: DataFrame, window: int, shared) -> DataFrame:
         profile = Profile(window)
         for batch in batches:
             rows: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(5)]
-            for key, text in zip(batch.column("_key").to_pylist(), raw(batch, "_text"), strict=True):
+            for key, text in zip(batch.column("_key").to_pylist(), stream(batch.column("_text")), strict=True):
                 words = text.split()
                 if len(words) < window:
                     continue
@@ -130,7 +130,7 @@ def _windows(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
         profile = Profile(window)
         for batch in batches:
             rows: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(5)]
-            for text, places in zip(raw(batch, "_text"), batch.column("at").to_pylist(), strict=True):
+            for text, places in zip(stream(batch.column("_text")), batch.column("at").to_pylist(), strict=True):
                 profile.read(text.split())
                 first, n, anchor, segment, copies = (np.array([p[c] for p in places]) for c in ("first", "windows", "anchor", "segment", "copies"))
                 offset = np.concatenate([np.arange(x) for x in n])
@@ -240,7 +240,7 @@ def remove_repeated(documents: DataFrame, *, text: str = "text", window: int = W
     def unmarked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(~passes(shared.value, batch.column("_key").to_numpy())))
-            rows = [_kept(t, w := t.split(), np.zeros(len(w), bool), keep_text) for t in raw(batch, "_text")]
+            rows = [_kept(t, w := t.split(), np.zeros(len(w), bool), keep_text) for t in stream(batch.column("_text"))]
             yield result(batch, rows)
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
