@@ -8,9 +8,9 @@ the model differs from the smoothed unigram only in the classes; an unknown toke
 Over the known tokens and one unknown the probabilities sum to one.
 
 Training covers all rows to learn from. Token counts are grouped by Spark. Weights start from the class counts of each
-bucket and are updated in rounds: each reads a part of the rows (by a hash of the text; the parts make up the whole), its
-tasks return empirical minus expected counts by bucket and class, these are summed in blocks of buckets and scaled by the
-counts. Scoring is one pass: dense sums of sparse features over blocks of tokens. Words of the ``head`` (a bounded list
+bucket in a first part of the rows and are updated in rounds, each on a further part (parts are dealt by a hash of the
+text and make up the whole): tasks return empirical and expected counts by bucket and class, these are summed in blocks of
+buckets, and the weights follow the gradient, their difference, scaled by the counts. Scoring is one pass: dense sums of sparse features over blocks of tokens. Words of the ``head`` (a bounded list
 of the most frequent) are scored in place, all others are joined to their counts by Spark, one row per text and word.
 
 Null and empty texts consist of the end mark. Rows are scored one by one, repeated rows alike. Without any row to learn
@@ -31,12 +31,14 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladeflow.llm.common import CACHED_WORDS, columns_of, ddl, raw
+from cladeflow.llm.common import CACHED_WORDS, columns_of, ddl, raw, stream
 from cladeflow.session import cut
 
-HEAD, ROUNDS, BITS, CLASSES, SINGLE = 150_000, 3, 14, 32, 15
-BUCKETS, FEATURES, BLOCK, SUMS = 1 << BITS, 4, 1 << 14, 1 << 10
+HEAD, ROUNDS, BITS, CLASSES, SINGLE = 200_000, 3, 14, 32, 15
+BUCKETS, FEATURES, BLOCK, SLICE, SUMS = 1 << BITS, 4, 1 << 17, 1 << 12, 1 << 10
 END = b""
+# Pseudo-counts that keep rare buckets near the prior.
+SMOOTH = 8.0
 RESULT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 _PUNCTUATION = frozenset(b".,;:!?")
 # Letters that tell languages apart.
@@ -82,66 +84,73 @@ class Tokens(dict):
         self.vocabulary = vocabulary
         self.place = {w: k + 1 for k, w in enumerate(vocabulary.head)}
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | None) -> int:
+        if word is None:  # before the start of a text
+            return CLASSES
         if len(self) > CACHED_WORDS:
             self.clear()
         packed = self.vocabulary.class_of(word) | (xxhash.xxh64_intdigest(word) & 0xFFFFFF) << 8 | self.place.get(word, 0) << 32
         self[word] = packed
         return packed
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.array([*map(self.__getitem__, words)], np.int64)
+    def blocks(self, texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+        """For blocks of whole texts: their tokens, these packed, the buckets of their contexts, and the texts' first tokens."""
+        words: list[bytes | None] = []
+        firsts: list[int] = []
+        for k, text in enumerate(texts):
+            firsts.append(len(words) - 3 * len(firsts))
+            words += (None, None, None, *tokens(text))
+            if len(words) >= BLOCK or k == len(texts) - 1:
+                packed = np.array([*map(self.__getitem__, words)], np.int64)
+                real = np.flatnonzero(packed != CLASSES)
+                yield [w for w in words if w is not None], packed[real], features(packed, real), np.array(firsts)
+                words, firsts = [], []
+
+
+def features(packed: np.ndarray, real: np.ndarray) -> np.ndarray:
+    """Buckets (FEATURES by tokens) of the contexts of the real tokens."""
+    classes, words = (packed & 0xFF).astype(np.uint64), (packed >> 8 & 0xFFFFFF).astype(np.uint64)
+    c1, c2, c3 = (classes[real - k] for k in (1, 2, 3))
+    keys = (words[real - 1], c1 * np.uint64(64) + c2, c2 * np.uint64(64) + c3, words[real - 2])
+    mixed = [(k + np.uint64(j << 32 | 1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS) for j, k in enumerate(keys)]
+    return np.stack(mixed).astype(np.uint16)
 
 
-def features(packed: np.ndarray) -> np.ndarray:
-    """Buckets (tokens by FEATURES) of the contexts in one text."""
-    n = len(packed)
-    classes, words = np.full(n + 3, CLASSES, np.uint64), np.zeros(n + 3, np.uint64)
-    classes[3:], words[3:] = packed & 0xFF, packed >> 8 & 0xFFFFFF
-    c1, c2, c3 = classes[2:-1], classes[1:-2], classes[:-3]
-    keys = (words[2:-1], c1 * np.uint64(64) + c2, c2 * np.uint64(64) + c3, words[1:-2])
-    mixed = [(k + np.uint64(j << 32 | 1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS) for j, k in enumerate(keys)]
-    return np.stack(mixed, axis=1).astype(np.int64)
-
-
-def log_softmax(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """weights: BUCKETS by CLASSES, with a last row for all contexts."""
-    logits = weights[at[:, 0]] + weights[-1]
-    for j in range(1, FEATURES):
-        logits += weights[at[:, j]]
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], known: Tokens) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Buckets and classes of the tokens, in blocks."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
-    for batch in batches:
-        for text in raw(batch, "_text"):
-            packed = known.of(tokens(text))
-            held.append((features(packed), packed & 0xFF))
-            size += len(packed)
-            if size >= BLOCK:
-                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
-                held, size = [], 0
-    if held:
-        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+def softmax(weights: np.ndarray, at: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """In slices that stay in the cache: exponentials by class, and their sums. The weights' last row is for all contexts."""
+    for k in range(0, at.shape[1], SLICE):
+        part = slice(k, min(k + SLICE, at.shape[1]))
+        logits = np.take(weights, at[0, part], axis=0)
+        for j in range(1, FEATURES):
+            logits += np.take(weights, at[j, part], axis=0)
+        logits += weights[-1]
+        np.clip(logits, -60, 60, out=logits)
+        np.exp(logits, out=logits)
+        yield part, logits, logits.sum(axis=1)
 
 
 def _sums(texts: DataFrame, vocabulary, weights) -> np.ndarray:
     """Empirical and, given weights, expected counts by bucket and class over all texts: 2 by BUCKETS by CLASSES."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Tokens(vocabulary.value)
         out = np.zeros((2, BUCKETS * CLASSES), np.float64)
-        for at, classes in _blocks(batches, Tokens(vocabulary.value)):
-            expected = None if weights is None else np.exp(log_softmax(weights.value, at))
-            for j in range(FEATURES):
-                out[0] += np.bincount(at[:, j] * CLASSES + classes, minlength=out.shape[1])
-                if expected is not None:
-                    order = np.argsort(at[:, j], kind="stable")
-                    own = at[order, j]
-                    starts = np.flatnonzero(np.diff(own, prepend=-1))
-                    out[1].reshape(BUCKETS, CLASSES)[own[starts]] += np.add.reduceat(expected[order], starts, axis=0)
+        modelled = np.zeros((CLASSES, BUCKETS))
+        for batch in batches:
+            for _, packed, at, _ in known.blocks(raw(batch, "_text")):
+                classes = packed & 0xFF
+                for j in range(FEATURES):
+                    out[0] += np.bincount(at[j].astype(np.int64) * CLASSES + classes, minlength=out.shape[1])
+                if weights is None:
+                    continue
+                p = np.empty((CLASSES, at.shape[1]))
+                for part, raised, total in softmax(weights.value, at):
+                    np.divide(raised.T, total, out=p[:, part])
+                for j in range(FEATURES):
+                    own = at[j].astype(np.int64)
+                    for c in range(CLASSES):
+                        modelled[c] += np.bincount(own, p[c], BUCKETS)
+        out[1] = modelled.T.ravel()
         parts = out.reshape(2, -1, SUMS * CLASSES).transpose(1, 0, 2).astype(np.float32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "sums"]
@@ -164,7 +173,7 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter[bytes] = Counter()
-            for text in raw(batch, "_text"):
+            for text in stream(batch.column("_text")):
                 seen.update(tokens(text))
                 if len(seen) > CACHED_WORDS:
                     yield rows(seen)
@@ -208,49 +217,57 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.
     context = texts.sparkSession.sparkContext
     shared = context.broadcast(vocabulary)
     prior = np.where(np.isfinite(vocabulary.prior), vocabulary.prior * np.log(10), -30.0)
-    counts = _sums(texts, shared, None)[0]
-    expected = counts.sum(axis=1, keepdims=True) * np.exp(prior)
-    weights = np.concatenate([0.5 * np.log((counts + 2 * np.exp(prior) + 1e-9) / (expected + 2 * np.exp(prior) + 1e-9)), [prior]]).astype(np.float32)
-    for k in range(rounds):
-        part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(rounds)) == k)
+    parts = [texts.where(F.pmod(F.xxhash64("_text"), F.lit(rounds + 1)) == k) for k in range(rounds + 1)]
+    seen = _sums(parts[0], shared, None)[0]
+    expected = seen.sum(axis=1, keepdims=True) * np.exp(prior)
+    weights = np.concatenate([0.4 * np.log((seen + SMOOTH * np.exp(prior) + 1e-9) / (expected + SMOOTH * np.exp(prior) + 1e-9)), [prior]])
+    weights = weights.astype(np.float32)
+    for part in parts[1:]:
         seen, modelled = _sums(part, shared, context.broadcast(weights))
-        weights[:-1] += (seen - modelled) / (np.maximum(seen, modelled) + 5) / 2
+        weights[:-1] += (seen - modelled) / (np.maximum(seen, modelled) + SMOOTH) / 2
     return weights
 
 
 def _score_texts(documents: DataFrame, fields, vocabulary: Vocabulary, weights: np.ndarray) -> DataFrame:
     """Sums over the words of the head, and for each other word of a text its number and its sum of class terms."""
     shared = documents.sparkSession.sparkContext.broadcast((vocabulary, weights))
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64()), ("term", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights = shared.value
         known = Tokens(vocabulary)
         head = np.concatenate([[0.0], vocabulary.base(np.array(list(vocabulary.head.values()), np.float64))])
         for batch in batches:
-            rows: list[list] = [[] for _ in range(5)]
-            for text in raw(batch, "_text"):
-                words = tokens(text)
-                packed = known.of(words)
+            sums: list[np.ndarray] = [np.empty((4, 0))]
+            sizes, words, times, terms = [0], [], [], []
+            for said, packed, at, firsts in known.blocks(raw(batch, "_text")):
                 classes, place = packed & 0xFF, packed >> 32
-                terms = np.concatenate([
-                    log_softmax(weights, at)[np.arange(len(at)), own] / np.log(10)
-                    for k in range(0, len(words), BLOCK)
-                    for at, own in [(features(packed)[k : k + BLOCK], classes[k : k + BLOCK])]
-                ]) - vocabulary.prior[classes]
+                term = np.empty(len(said))
+                for part, raised, total in softmax(weights, at):
+                    term[part] = np.log10(raised[np.arange(len(total)), classes[part]] / total)
+                term -= vocabulary.prior[classes]
+                base = head[place]
                 inside = place > 0
-                base = float(head[place].sum())
-                other: dict[bytes, list] = {}
-                for k in np.flatnonzero(~inside).tolist():
-                    entry = other.setdefault(words[k], [0, 0.0])
-                    entry[0] += 1
-                    entry[1] += terms[k]
-                values = (len(words), int(inside.sum()), base, base + float(terms[inside].sum()), [{"word": w, "times": n, "term": t} for w, (n, t) in other.items()])
-                for to, value in zip(rows, values, strict=True):
-                    to.append(value)
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), kind)
+                sums.append(np.add.reduceat(np.stack([np.ones(len(said)), inside, base, base + np.where(inside, term, 0)]), firsts, axis=1))
+                outside = np.flatnonzero(~inside)
+                ends = np.searchsorted(outside, [*firsts[1:], len(said)])
+                for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                    other: dict[bytes, int] = {}
+                    for k in outside[a:b].tolist():
+                        n = other.setdefault(said[k], len(times))
+                        if n == len(times):
+                            words.append(said[k])
+                            times.append(0)
+                            terms.append(0.0)
+                        times[n] += 1
+                        terms[n] += term[k]
+                    sizes.append(len(times))
+            total = np.concatenate(sums, axis=1)
+            others = pa.ListArray.from_arrays(
+                pa.array(sizes, pa.int32()),
+                pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int64()), pa.array(terms, pa.float64())], names=["word", "times", "term"]),
+            )
             yield pa.RecordBatch.from_arrays(
-                columns_of(fields, batch) + [pa.array(r, t) for r, t in zip(rows, types, strict=True)],
+                [*columns_of(fields, batch), *(pa.array(x.astype(np.int64)) for x in total[:2]), *map(pa.array, total[2:]), others],
                 names=[*(f.name for f in fields), "n_tokens", "_known", "_base", "_score", "_other"],
             )
 
