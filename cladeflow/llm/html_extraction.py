@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeflow.llm.common import bit_filter, columns_of, ddl, may_be_in
+from cladeflow.session import cut
 
 PAGES = 12
 RESULT = ("text", "n_chars")
@@ -294,10 +295,12 @@ def _least(ids: DataFrame, order: Column, most: int) -> DataFrame:
 
 def main_text(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """The pages without their html, with text and n_chars (code points)."""
-    learned = learn(pages, page_id=page_id, url=url, html=html)
+    # written first, so that the pages are joined knowing its size
+    learned = cut(learn(pages, page_id=page_id, url=url, html=html))
     fields = [f for f in pages.schema.fields if f.name not in (*RESULT, html)]
-    both = pages.withColumn("_host", host_of(F.col(url))).join(learned, F.col("_host") == F.col("host"), "left").select(
-        *[f"`{f.name}`" for f in fields], F.col(html).alias("_html"), F.col("path").alias("_path")
+    learned = learned.select(F.col("host").alias("_known"), F.col("path").alias("_path"))
+    both = pages.withColumn("_host", host_of(F.col(url))).join(learned, F.col("_host") == F.col("_known"), "left").select(
+        *[f"`{f.name}`" for f in fields], F.col(html).alias("_html"), "_path"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
