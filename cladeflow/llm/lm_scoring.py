@@ -35,6 +35,7 @@ from cladeflow.llm.common import CACHED_WORDS, columns_of, ddl, raw, stream
 from cladeflow.session import cut
 
 HEAD, ROUNDS, BITS, CLASSES, SINGLE = 200_000, 3, 14, 32, 15
+LONGEST = 64
 BUCKETS, FEATURES, BLOCK, SLICE, SUMS = 1 << BITS, 4, 1 << 17, 1 << 12, 1 << 10
 END = b""
 # Pseudo-counts that keep rare buckets near the prior.
@@ -171,14 +172,14 @@ def _sums(texts: DataFrame, vocabulary, weights) -> np.ndarray:
 def count_tokens(texts: DataFrame) -> DataFrame:
     """word (bytes, lower-case; empty for the end mark) and count over all texts (column _text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[bytes] = Counter()
         for batch in batches:
-            seen: Counter[bytes] = Counter()
             for text in stream(batch.column("_text")):
                 seen.update(tokens(text))
                 if len(seen) > CACHED_WORDS:
                     yield rows(seen)
                     seen = Counter()
-            yield rows(seen)
+        yield rows(seen)
 
     def rows(seen: Counter) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
@@ -187,12 +188,13 @@ def count_tokens(texts: DataFrame) -> DataFrame:
 
 
 def build_vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
-    """counts: rows of count_tokens. The head is all words above the lowest count that keeps it within its bound."""
+    """counts: rows of count_tokens. The head is all words above the lowest count that keeps it within its bound, but for
+    those of more than LONGEST bytes."""
     step = F.floor(F.log2("n") * 8).cast("int")
     steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).orderBy(F.desc("step")).collect()
     beyond = np.cumsum([r.words for r in steps])
     lowest = next((r.step for r, sofar in zip(reversed(steps), reversed(beyond), strict=True) if sofar <= head), None)
-    table = (counts.where(step >= lowest) if lowest is not None else counts.limit(0)).toArrow()
+    table = (counts.where((step >= lowest) & (F.length("word") <= LONGEST)) if lowest is not None else counts.limit(0)).toArrow()
     top = sorted(zip(table.column("word").to_pylist(), table.column("n").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
     single = {END: 0} | {w: k + 1 for k, (w, _) in enumerate([x for x in top if x[0] != END][:SINGLE])}
     vocabulary = Vocabulary(dict(top), sum(r.n for r in steps), sum(r.words for r in steps), single, np.zeros(CLASSES))

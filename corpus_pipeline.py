@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeflow.llm import decontamination, mixing, quality_rules, simhash_dedup, substring_dedup
+from cladeflow.llm.common import bounded_batches
 from cladeflow.session import cut
 
 ORACLE_SQL: str | None = None
@@ -46,12 +47,21 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, labels).where("copies > 0")
 
 
+def _stage(work):
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return work(spark, docs, sf_dir)
+
+    stage.__doc__ = work.__doc__
+    return stage
+
+
 STAGES = [
-    ("quality_rules", drop_low_quality),
-    ("near_duplicates", drop_near_duplicates),
-    ("repeated_passages", cut_repeated_passages),
-    ("benchmark_passages", drop_contaminated),
-    ("mixing", mix),
+    ("quality_rules", _stage(drop_low_quality)),
+    ("near_duplicates", _stage(drop_near_duplicates)),
+    ("repeated_passages", _stage(cut_repeated_passages)),
+    ("benchmark_passages", _stage(drop_contaminated)),
+    ("mixing", _stage(mix)),
 ]
 
 
