@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeflow.llm.common import text_map
+from cladeflow.session import cut
 
 RISK, ERROR = 0.04, 0.05
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -141,7 +142,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", s
         return pd.DataFrame([out]).astype(dict.fromkeys(RULES, "float64"))
 
     schema = "stratum string, " + ", ".join(f"{name} double" for name in RULES)
-    return histogram.groupBy("stratum").applyInPandas(per_stratum, schema)
+    # written, so that documents are joined to it knowing its size
+    return cut(histogram.groupBy("stratum").applyInPandas(per_stratum, schema))
 
 
 def _stratum(column: str):
