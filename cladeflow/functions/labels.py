@@ -70,9 +70,13 @@ def label_columns(label: Column, full: bool = False) -> dict[str, Column]:
 
 def label_issue(label: Column) -> Column:
     """What is lost of a label's numbers: ``red_cut``, ``number_as_genome``, ``bootstrap_lost``, or null."""
-    lost = F.coalesce(bootstrap(label, True).isNotNull() & bootstrap(label).isNull(), F.lit(False))
+    number, usual = r"[0-9]+(?:\.[0-9]+)?", r"[0-9]\.[0-9]{1,3}"
+
+    def lost(before: str, after: str) -> Column:
+        return label.rlike(before + number + after) & ~label.rlike(before + usual + after)
+
     return (
-        F.when(~red(label).eqNullSafe(red(label, True)), "red_cut")
-        .when(lost & genome(label).isNotNull(), "number_as_genome")
-        .when(lost, "bootstrap_lost")
+        F.when(lost(r"\|RED=", r"(?![0-9.])"), "red_cut")
+        .when(lost("^'?", r"'?(?:\||$)"), "number_as_genome")
+        .when(lost("^'", ":"), "bootstrap_lost")
     )
