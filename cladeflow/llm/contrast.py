@@ -103,8 +103,7 @@ def train(texts: list[bytes], label: np.ndarray, prior: np.ndarray, steps: int =
     Each half of the sample is described by contrasts of the other half, so that no text is judged by itself.
     """
     classes = len(prior)
-    cache: dict[bytes, tuple[int, ...]] = {}
-    held = [np.unique([b for w in set(t.split()) for b in (cache.get(w) or cache.setdefault(w, buckets(w)))]).astype(np.int64) for t in texts]
+    held = [np.unique(np.array([buckets(w) for w in set(t.split())], np.int32)) for t in texts]
     half = np.arange(len(texts)) % 2
     x = np.zeros((len(texts), 4 * classes + 4))
     for side in (0, 1):
