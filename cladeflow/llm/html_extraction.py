@@ -149,12 +149,14 @@ def read_text(node: Node) -> str:
 
 
 class Slot:
-    """A node of the aligned tree of a host: how many pages have it, the texts it held itself, and its children."""
+    """A node of the aligned tree of a host: how many pages have it, how many siblings of its kind a page has at most, the
+    texts it held itself, and its children."""
 
-    __slots__ = ("key", "tag", "aside", "pages", "own", "linked", "children", "varies")
+    __slots__ = ("key", "tag", "aside", "pages", "own", "linked", "children", "varies", "many")
 
     def __init__(self, node: Node, linked: bool):
         self.key, self.tag, self.aside, self.pages, self.varies = node.key, node.tag, node.aside, 1, False
+        self.many = 1
         self.linked = linked or node.tag == "a"
         said = "".join(c for c in node.children if isinstance(c, str)).strip()
         self.own, self.children = {hash(said): len(said)}, []
@@ -168,6 +170,7 @@ class Slot:
                 self.children.append(slot)
             else:
                 same.absorb(slot)
+                same.many += 1
 
     def absorb(self, other: Slot) -> None:
         """Merge a node of the same page or, after alignment, of another page."""
@@ -210,6 +213,7 @@ def matching(a: Slot, b: Slot) -> tuple[int, list[tuple[int, int]]]:
 def align(template: Slot, page: Slot) -> None:
     """Add a page to the aligned tree; nodes without partner are kept in page order."""
     template.pages += page.pages
+    template.many = max(template.many, page.many)
     template.own.update(page.own)
     pairs = dict((j, i) for i, j in matching(template, page)[1])
     after: list[Slot] = list(template.children)
@@ -228,14 +232,17 @@ def _weight(slot: Slot) -> int:
 
 
 def wrapper(template: Slot) -> list[str]:
-    """Keys from below the page to the content root: down while one child holds nearly all varying text."""
+    """Keys from below the page to the content root: down while one child holds nearly all varying text.
+
+    A child that a page has several times is no root: the text lies in all of them, and their parent holds it.
+    """
     path, at = [], template
     while True:
         weights = [(_weight(c), k) for k, c in enumerate(at.children)]
         total = sum(w for w, _ in weights) + at.text()
         most, k = max(weights, default=(0, 0))
         # an article or main is the root; below it everything belongs to the article
-        if not total or at.tag in ("article", "main") or most < 0.8 * total or at.children[k].tag in INLINE or at.children[k].tag in ("p", "br", "li", "td"):
+        if not total or at.tag in ("article", "main") or most < 0.8 * total or at.children[k].tag in INLINE or at.children[k].tag in ("p", "br", "li", "td") or at.children[k].many > 1:
             return path
         at = at.children[k]
         path.append(at.key)

@@ -175,6 +175,15 @@ def test_simple_tree_matching():
     assert [c.key for c in a.children[0].children] == ["h1", "p", "ul"] and len(a.children[0].children[1].own) == 2
 
 
+@pytest.mark.parametrize("block", ["<div class=para>{0}</div>", "<section>{0}</section>", "<blockquote>{0}</blockquote>", "<table><tr><td>{0}</td></tr><tr><td>{0} too</td></tr></table>"])
+def test_repeated_siblings_are_all_read(spark, block):
+    rows = [(k, "http://h.org/", f"<body><div id=content>{block.format(f'First words {k}')}{block.format(f'second words {k}')}</div></body>") for k in range(4)]
+    rows.append((9, "http://alone.org/", f"<body><div id=content>{block.format('First words 9')}{block.format('second words 9')}</div></body>"))
+    for r in html_extraction.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect():
+        both = [f"First words {r.page_id}", f"second words {r.page_id}"]
+        assert r.text == " ".join(f"{x} {x} too" if "table" in block else x for x in both)
+
+
 def test_pipeline_stages(spark, tables, tmp_path):
     docs, labels = tables
     passage = " ".join(f"pass{k}" for k in range(60))
