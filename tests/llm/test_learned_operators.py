@@ -184,6 +184,15 @@ def test_repeated_siblings_are_all_read(spark, block):
         assert r.text == " ".join(f"{x} {x} too" if "table" in block else x for x in both)
 
 
+def test_rare_layout_and_repeated_constants(spark):
+    """60 pages with one layout, two with another that has the first one's content node as a teaser, on one host."""
+    fixed = "<ul id=facts><li>A long line that all pages have and that is no part of the text</li><li>Another such line, as long as the first one</li></ul>"
+    rows = [(k, "http://h.org/", f"<body>{fixed}<div id=content><p>Text {k} of the page, with words</p></div></body>") for k in range(60)]
+    rows += [(k, "http://h.org/", f"<body><div id=content>See {k}</div><div id=story><p>{f'Story {k} goes on and on. ' * 9}</p></div></body>") for k in (60, 61)]
+    for r in html_extraction.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)).collect():
+        assert r.text == (f"Text {r.page_id} of the page, with words" if r.page_id < 60 else (f"Story {r.page_id} goes on and on. " * 9).strip()), r.page_id
+
+
 def test_pipeline_stages(spark, tables, tmp_path):
     docs, labels = tables
     passage = " ".join(f"pass{k}" for k in range(60))
