@@ -7,10 +7,10 @@ the word and the classes further back. In its class a token has its smoothed sha
 the model differs from the smoothed unigram only in the classes; an unknown token keeps the unigram's probability.
 Over the known tokens and one unknown the probabilities sum to one.
 
-Training covers all rows to learn from. Token counts are grouped by Spark. Weights start from the class counts of each
-bucket in a first part of the rows and are updated in rounds, each on a further part (parts are dealt by a hash of the
-text and make up the whole): tasks return empirical and expected counts by bucket and class, these are summed in blocks of
-buckets, and the weights follow the gradient, their difference, scaled by the counts. Scoring is one pass: dense sums of sparse features over blocks of tokens. Words of the ``head`` (a bounded list
+Training covers all rows to learn from, in each of its steps. Token counts are grouped by Spark, and the texts are packed
+once to four bytes a token. Weights start from the class counts of each bucket and are updated in rounds: tasks return
+counts by bucket and class, expected ones in the rounds and empirical ones before, these are summed in blocks of buckets,
+and the weights follow the gradient, their difference, scaled by the counts. Scoring is one pass: dense sums of sparse features over blocks of tokens. Words of the ``head`` (a bounded list
 of the most frequent) are scored in place, all others are joined to their counts by Spark, one row per text and word.
 
 Null and empty texts consist of the end mark. Rows are scored one by one, repeated rows alike. Without any row to learn
@@ -96,15 +96,19 @@ class Tokens(dict):
 
     def blocks(self, texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
         """For blocks of whole texts: their tokens, these packed, the buckets of their contexts, and the texts' first tokens."""
+        for words, packed, firsts in self.packed(texts):
+            real = np.flatnonzero(packed != CLASSES)
+            yield [w for w in words if w is not None], packed[real], features(packed, real), np.array(firsts)
+
+    def packed(self, texts: list[bytes]) -> Iterator[tuple[list[bytes | None], np.ndarray, list[int]]]:
+        """Blocks of whole texts, three tokens before the start with each: the tokens, these packed, and the texts' first tokens."""
         words: list[bytes | None] = []
         firsts: list[int] = []
         for k, text in enumerate(texts):
             firsts.append(len(words) - 3 * len(firsts))
             words += (None, None, None, *tokens(text))
             if len(words) >= BLOCK or k == len(texts) - 1:
-                packed = np.array([*map(self.__getitem__, words)], np.int64)
-                real = np.flatnonzero(packed != CLASSES)
-                yield [w for w in words if w is not None], packed[real], features(packed, real), np.array(firsts)
+                yield words, np.array([*map(self.__getitem__, words)], np.int64), firsts
                 words, firsts = [], []
 
 
@@ -130,19 +134,33 @@ def softmax(weights: np.ndarray, at: np.ndarray) -> Iterator[tuple[slice, np.nda
         yield part, logits, logits.sum(axis=1)
 
 
-def _sums(texts: DataFrame, vocabulary, weights) -> np.ndarray:
-    """Empirical and, given weights, expected counts by bucket and class over all texts: 2 by BUCKETS by CLASSES."""
+def _packed(texts: DataFrame, vocabulary) -> DataFrame:
+    """Blocks of whole texts as 4 bytes a token: class and bucket; CLASSES before the start of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Tokens(vocabulary.value)
-        out = np.zeros((2, BUCKETS * CLASSES), np.float64)
+        for batch in batches:
+            for block in known.packed(raw(batch, "_text")):
+                yield pa.RecordBatch.from_arrays([pa.array([block[1].astype(np.uint32).tobytes()], pa.binary())], names=["tokens"])
+
+    return texts.mapInArrow(run, "tokens binary")
+
+
+def _sums(blocks: DataFrame, weights) -> np.ndarray:
+    """Empirical or, given weights, expected counts by bucket and class over all blocks: BUCKETS by CLASSES."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(BUCKETS * CLASSES, np.float64)
         modelled = np.zeros((CLASSES, BUCKETS))
         for batch in batches:
-            for _, packed, at, _ in known.blocks(raw(batch, "_text")):
-                classes = packed & 0xFF
-                for j in range(FEATURES):
-                    out[0] += np.bincount(at[j].astype(np.int64) * CLASSES + classes, minlength=out.shape[1])
+            for block in batch.column("tokens"):
+                packed = np.frombuffer(block.as_py(), np.uint32).astype(np.int64)
+                real = np.flatnonzero(packed != CLASSES)
+                at = features(packed, real)
                 if weights is None:
+                    classes = packed[real] & 0xFF
+                    for j in range(FEATURES):
+                        out += np.bincount(at[j].astype(np.int64) * CLASSES + classes, minlength=len(out))
                     continue
                 p = np.empty((CLASSES, at.shape[1]))
                 for part, raised, total in softmax(weights.value, at):
@@ -151,22 +169,23 @@ def _sums(texts: DataFrame, vocabulary, weights) -> np.ndarray:
                     own = at[j].astype(np.int64)
                     for c in range(CLASSES):
                         modelled[c] += np.bincount(own, p[c], BUCKETS)
-        out[1] = modelled.T.ravel()
-        parts = out.reshape(2, -1, SUMS * CLASSES).transpose(1, 0, 2).astype(np.float32)
+        if weights is not None:
+            out = modelled.T.ravel()
+        parts = out.reshape(-1, SUMS * CLASSES).astype(np.float32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "sums"]
         )
 
     def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * SUMS * CLASSES, np.float64)
+        total = np.zeros(SUMS * CLASSES, np.float64)
         for batch in batches:
             for sums in batch.column("sums").to_pylist():
                 total += np.frombuffer(sums, np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
 
-    table = texts.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(add, "part int, sums binary").toArrow().sort_by("part")
-    parts = [np.frombuffer(x, np.float64).reshape(2, -1) for x in table.column("sums").to_pylist()]
-    return np.concatenate(parts or [np.zeros((2, BUCKETS * CLASSES))], axis=1).reshape(2, BUCKETS, CLASSES)
+    table = blocks.mapInArrow(run, "part int, sums binary").groupBy("part").applyInArrow(add, "part int, sums binary").toArrow().sort_by("part")
+    parts = [np.frombuffer(x, np.float64) for x in table.column("sums").to_pylist()]
+    return np.concatenate(parts or [np.zeros(BUCKETS * CLASSES)]).reshape(BUCKETS, CLASSES)
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
@@ -219,13 +238,13 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.
     context = texts.sparkSession.sparkContext
     shared = context.broadcast(vocabulary)
     prior = np.where(np.isfinite(vocabulary.prior), vocabulary.prior * np.log(10), -30.0)
-    parts = [texts.where(F.pmod(F.xxhash64("_text"), F.lit(rounds + 1)) == k) for k in range(rounds + 1)]
-    seen = _sums(parts[0], shared, None)[0]
+    blocks = cut(_packed(texts, shared))
+    seen = _sums(blocks, None)
     expected = seen.sum(axis=1, keepdims=True) * np.exp(prior)
     weights = np.concatenate([0.4 * np.log((seen + SMOOTH * np.exp(prior) + 1e-9) / (expected + SMOOTH * np.exp(prior) + 1e-9)), [prior]])
     weights = weights.astype(np.float32)
-    for part in parts[1:]:
-        seen, modelled = _sums(part, shared, context.broadcast(weights))
+    for _ in range(rounds):
+        modelled = _sums(blocks, context.broadcast(weights))
         weights[:-1] += (seen - modelled) / (np.maximum(seen, modelled) + SMOOTH) / 2
     return weights
 

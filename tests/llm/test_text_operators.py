@@ -133,6 +133,30 @@ def test_lm_scoring(spark):
     assert all(r.n_known == 0 for r in lm_scoring.score(docs, learn.limit(0)).collect())
 
 
+def test_lm_training_reads_all_rows_in_each_round(spark):
+    import numpy as np
+
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["aa", "bbb", "cc.", "dd,", "eee", "ü"]) for _ in range(rng.randint(1, 30))) for _ in range(30)] + ["aa bbb aa bbb cc."] * 20
+    frame = spark.createDataFrame([(t,) for t in texts], "_text string").repartition(3)
+    vocabulary = lm_scoring.build_vocabulary(lm_scoring.count_tokens(frame))
+    (_, packed, at, _), = lm_scoring.Tokens(vocabulary).blocks([t.encode() for t in texts])
+    prior = np.where(np.isfinite(vocabulary.prior), vocabulary.prior * np.log(10), -30.0)
+    seen = np.zeros((lm_scoring.BUCKETS, lm_scoring.CLASSES))
+    for row in at:
+        np.add.at(seen, (row, packed & 0xFF), 1)
+    smooth = lm_scoring.SMOOTH * np.exp(prior) + 1e-9
+    weights = 0.4 * np.log((seen + smooth) / (seen.sum(axis=1, keepdims=True) * np.exp(prior) + smooth))
+    for _ in range(2):
+        p = np.exp(weights[at].sum(axis=0) + prior)
+        p /= p.sum(axis=1, keepdims=True)
+        modelled = np.zeros_like(seen)
+        for row in at:
+            np.add.at(modelled, row, p)
+        weights = weights + (seen - modelled) / (np.maximum(seen, modelled) + lm_scoring.SMOOTH) / 2
+    assert np.abs(lm_scoring.train(frame, vocabulary, 2)[:-1] - weights).max() < 1e-3
+
+
 def test_lm_probabilities_sum_to_one():
     import numpy as np
 
