@@ -10,6 +10,8 @@ current gaps alone. So no rates are stored: each pass works them out from the fe
 tokens by domain in its tasks, and sends one row per task. The work grows with the documents, what meets on the driver
 with the number of domains only.
 
+Targets that are not met within the steps, such as shares beyond reach of ``most``, are reported by a warning.
+
 Rates become whole copies: the integer part, and one more with the probability of the rest, drawn by a hash of the id.
 
 Null and empty texts have no tokens, do not count towards the targets, and get the rate of their posterior. Labels that
@@ -19,6 +21,7 @@ alike. Extra columns are returned, columns named like results are replaced.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,6 +94,9 @@ def fit_rates(members: DataFrame, target: np.ndarray, *, most: float = MOST, rid
         if np.abs(now).max() <= gap and gaps and np.abs(scale).max() <= gap:
             return gaps
         gaps, scale = [*gaps, expected[1] / total - target], now
+    expected, total = _expected(rows, gaps, most, ridge)
+    if total and np.abs(missed := expected[0] / total - target).max() > gap:
+        warnings.warn(f"shares of tokens miss the targets {target.tolist()} by {missed.round(4).tolist()} after {steps} steps", stacklevel=2)
     return gaps
 
 

@@ -42,9 +42,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rates and copies that bring the expected shares of tokens to the targets; documents without a copy go."""
+    """Rates and copies that bring the expected shares of tokens to the targets. All documents stay, for the reader to apply the copies (0 included)."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return mixing.mix(docs, labels).where("copies > 0")
+    return mixing.mix(docs, labels)
 
 
 def _stage(work):

@@ -124,6 +124,20 @@ def test_rates_reach_targets(spark, tables):
     assert mixing.mix(docs.limit(0), labels).count() == 0
 
 
+def test_targets_out_of_reach_are_reported(spark):
+    members = spark.createDataFrame([(100, [1.0, 0.0])] * 9 + [(100, [0.0, 1.0])], "_tokens bigint, _posterior array<double>")
+    with pytest.warns(UserWarning, match="miss the targets"):
+        mixing.fit_rates(members, np.array([0.1, 0.9]), steps=3)
+
+
+def test_mixing_stage_keeps_all_documents(spark, tables, tmp_path):
+    docs, labels = tables
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    mixed = corpus_pipeline.mix(spark, docs, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in mixed) == sorted(str(r.doc_id) for r in docs.collect())
+    assert any(r.copies == 0 for r in mixed)
+
+
 def test_rates_solve_the_least_squares():
     """Against plain projected gradients with stored rates."""
     rng = np.random.default_rng(4)
