@@ -236,21 +236,32 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def groups(documents: DataFrame, *, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The documents without their text, with fingerprint (hex) and component_id, the least id of the group."""
+    found = _rooted(documents, text=text, doc_id=doc_id, shingle=shingle, radius=radius)
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("_fp"), 16, "0"))).select(
+        *[f"`{c}`" for c in found.columns if c not in ("_fp", "_root", "component_id")], "fingerprint", "component_id"
+    )
+
+
+def _rooted(documents: DataFrame, *, text: str, doc_id: str, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The documents without their text, with _fp, _root (the least fingerprint of the group) and component_id."""
     marked = cut(fingerprints(documents, text=text, shingle=shingle))
     distinct = cut(marked.groupBy("_fp").agg(F.min(doc_id).alias("least")))
     linked = components(links(distinct.select("_fp"), radius=radius))
     rooted = distinct.join(linked, F.col("_fp") == F.col("node"), "left").select("_fp", "least", F.coalesce("root", "_fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    lookup = rooted.join(named, "root").select("_fp", "component_id")
-    out = marked.join(lookup, "_fp")
-    return out.select(
-        *[f"`{c}`" for c in marked.columns if c != "_fp"], F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    lookup = rooted.join(named, "root").select("_fp", F.col("root").alias("_root"), "component_id")
+    return marked.join(lookup, "_fp")
 
 
 def keep_one(documents: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The document with the least id of each group, with all its columns; of rows with the same id one stays."""
-    found = groups(documents.select(doc_id, text), text=text, doc_id=doc_id)
-    first = found.where(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("_kept")).distinct()
-    stay = documents.join(first, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
-    return stay.dropDuplicates([doc_id])
+    """One row of each group, with all its columns: that with the least id, of equal ids with the least hash of the row.
+
+    An id that is null or repeated in several groups stays once in each; a null id only where the group has no other.
+    """
+    # two hashes over the whole row name it; equal rows are of one group and count as one
+    whole = [F.to_json(F.struct(c)) if kind.startswith("map") else F.col(f"`{c}`") for c, kind in documents.dtypes]
+    isnull = [F.col(f"`{c}`").isNull() for c in documents.columns]
+    keyed = documents.withColumns({f"_h{k}": F.xxhash64(F.lit(k), *whole, *isnull) for k in (1, 2)})
+    found = _rooted(keyed.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), "_h1", "_h2"), text="_text", doc_id="_id")
+    first = found.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_h1", "_h2")).alias("first")).select("first._h1", "first._h2")
+    return keyed.join(first, ["_h1", "_h2"], "left_semi").dropDuplicates(["_h1", "_h2"]).select(*[f"`{c}`" for c in documents.columns])

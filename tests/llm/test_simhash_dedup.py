@@ -87,3 +87,14 @@ def test_empty_table_repeated_rows_and_other_columns(spark):
     got = simhash_dedup.groups(spark.createDataFrame(rows, schema))
     assert got.columns == ["doc_id", "leaf", "fingerprint", "component_id"]
     assert [r.component_id for r in got.collect()] == [5, 5, 5]
+
+
+def test_each_group_keeps_one_row_whatever_its_ids(spark):
+    """Several groups without ids, groups that share an id, and an id that is least in one group and not in another."""
+    texts = [" ".join(f"{x}{k}" for k in range(60)) for x in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[3]), (2, texts[4]), (7, texts[4]), (None, texts[5]), (9, texts[5])]
+    frame = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id bigint, text string, nth int")
+    first = sorted(simhash_dedup.keep_one(frame).collect(), key=lambda r: r.text)
+    assert [(r.doc_id, r.text) for r in first] == [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (2, texts[4]), (9, texts[5])]
+    again = simhash_dedup.keep_one(frame.repartition(5)).collect()
+    assert sorted(r.nth for r in again) == sorted(r.nth for r in first)
