@@ -131,13 +131,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op3_token_counts")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four batches, one of them delivered twice: provisional counts, true counts, toxic documents taken out and put back."""
-    version = "byte_bpe_50k"
+    """Six batches, one of them delivered twice: provisional counts, true counts, toxic documents taken out and put back,
+    and another tokenizer version, provisional and revised."""
+    version, other = "byte_bpe_50k", "byte_bpe_multi_50k"
     words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("bigint")
     documents = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     counted = cut(
         documents.select(
-            "doc_id", "source", "lang", F.coalesce(words, F.lit(0)).alias("words"), token_counts.token_counter(spark, version)("text").alias("n")
+            "doc_id", "source", "lang", F.coalesce(words, F.lit(0)).alias("words"), token_counts.token_counter(spark, version)("text").alias("n"),
+            token_counts.token_counter(spark, other)("text").alias("m"),
         )
     )
     toxic = _read(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
@@ -148,6 +150,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit("3-dispute", token_counts.deleted(disputed, version, F.col("n")))
     rollup.commit("2-count", token_counts.revised(counted, version, F.col("words"), F.col("n")))
     rollup.commit("4-settle", token_counts.inserted(disputed, version, F.col("n")))
+    rollup.commit("5-load-other", token_counts.inserted(counted, other, F.col("n")))
+    rollup.commit("6-count-other", token_counts.revised(counted, other, F.col("n"), F.col("m")))
     return rollup.totals()
 
 

@@ -247,3 +247,12 @@ def test_queries_run_on_the_given_tables(spark):
     assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
     rows = queries.QUERIES["op6_toxicity"](spark, "/root/testdata/sf0.001").collect()
     assert all(r.held_out == held(r.doc_id, 0) for r in rows) and len({r.doc_id for r in rows}) == len(rows)
+
+
+def test_op3_counts_both_tokenizer_versions(spark):
+    rows = queries.QUERIES["op3_token_counts"](spark, "/root/testdata/sf0.001").collect()
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for version in ("byte_bpe_50k", "byte_bpe_multi_50k"):
+        plain = documents.select(F.sum(token_counts.token_counter(spark, version)("text"))).first()[0]
+        own = [r for r in rows if r.tokenizer == version]
+        assert (sum(r.docs for r in own), sum(r.tokens for r in own)) == (documents.count(), plain)
