@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import uuid
 
-from cladeflow.llm import decontamination, html_extraction, lm_scoring, mixing, quality_classifier, quality_rules, simhash_dedup, substring_dedup, token_counts, toxicity
+from cladeflow.llm import decontamination, hard_negatives, html_extraction, lm_scoring, mixing, packing, periodic_runs, quality_classifier, quality_rules, simhash_dedup, substring_dedup, token_counts, toxicity
 from cladeflow.llm.common import bounded_batches, held_out
 from cladeflow.session import cut, shared_folder
 
@@ -180,3 +180,33 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = cut(mixing.posterior(documents, model).drop("text"))
     gaps = mixing.fit_rates(members, np.array(list(mixing.TARGETS.values())))
     return mixing.shown(mixing.with_rates(members, gaps), domains)
+
+
+@_query("op11_best_fit_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def looped(words: list[bytes], seed: int) -> list[bytes]:
+    """One text in ten, by its seed, goes over to repeating a stretch of its own words."""
+    g, rest = divmod(seed, 10)
+    if rest:
+        return words
+    a = g % len(words)
+    p = 1 + (len(words) - a) // (3 + g % 8)
+    stretch = words[a : a + p]
+    return words[:a] + (stretch * ((len(words) - a) // p + 1))[: len(words) - a]
+
+
+@_query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    seed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return periodic_runs.find_runs(documents, rewrite=looped, seed=seed).drop("runs")
+
+
+@_query("op13_hard_negatives")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0, label=label)
