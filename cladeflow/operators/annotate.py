@@ -17,11 +17,12 @@ def flag_reference(nodes: DataFrame, gtdb_genomes: DataFrame) -> DataFrame:
     return nodes.join(flags.withColumn("magset", F.lit("GTDB")), "genome", "left").fillna("other", ["magset"])
 
 
-def annotate_nodes(raw_nodes: DataFrame, gtdb_genomes: DataFrame, params: DomainParams, full_numbers: bool = False) -> DataFrame:
-    """``raw_nodes`` has parent, node, branch_length and label; one tree. ``full_numbers``: see ``label_columns``."""
+def annotate_nodes(raw_nodes: DataFrame, gtdb_genomes: DataFrame, params: DomainParams, full_numbers: bool = False, reach: str = "root") -> DataFrame:
+    """``raw_nodes`` has parent, node, branch_length and label; one tree. ``full_numbers``: see ``label_columns``; ``reach``: see
+    ``paint_groups``."""
     domains = as_domains(params)
     parsed = raw_nodes.withColumns(label_columns(F.col("label"), full_numbers))
-    painted = paint_groups(flag_reference(parsed, gtdb_genomes))
+    painted = paint_groups(flag_reference(parsed, gtdb_genomes), reach=reach)
     novelty = per_domain(F.lit(domains[0].domain), {p.domain: novelty_red(F.col("RED"), p) for p in domains})
     return painted.select(
         "parent",

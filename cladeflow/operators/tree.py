@@ -207,10 +207,17 @@ def any_descendant(nodes: DataFrame, flagged: str) -> DataFrame:
     return inner.select("node").join(above.distinct(), "node", "left_semi")
 
 
-def paint_groups(nodes: DataFrame, reference: Column | None = None) -> DataFrame:
-    """Add ``nongtdb_group``: ``gtdb`` for reference tips and every node above one, else ``nongtdb``."""
+def paint_groups(nodes: DataFrame, reference: Column | None = None, reach: str = "root") -> DataFrame:
+    """Add ``nongtdb_group``.
+
+    ``reach="root"``: ``gtdb`` for reference tips and every node above one, else ``nongtdb``. ``reach="common"``: each of the
+    two groups of tips marks its tips and the nodes on their paths, up to the lowest node above all of the group (for a
+    single tip its parent). Reference marks win, nodes without a mark are ``0``.
+    """
     is_reference = F.col("magset") == "GTDB" if reference is None else reference
     flagged = nodes.withColumn("_reference", F.coalesce(is_reference, F.lit(False)))
+    if reach == "common":
+        return _painted_to_common(flagged)
     above = any_descendant(flagged, "_reference").select(F.col("node").alias("_above"))
     tip = F.col("genome").isNotNull() & F.col("_reference")
     return (
@@ -220,6 +227,37 @@ def paint_groups(nodes: DataFrame, reference: Column | None = None) -> DataFrame
     )
 
 
+def _painted_to_common(flagged: DataFrame) -> DataFrame:
+    """Tips of both groups are counted below every node. A node is on a path up to the group's common ancestor if it holds
+    some of the group's tips but not all, or all and no child does."""
+    from cladeflow.operators.intervals import subtree_sums
+
+    tip = F.col("genome").isNotNull()
+    counted = flagged.select(
+        "node", "parent", (tip & F.col("_reference")).cast("bigint").alias("gtdb"), (tip & ~F.col("_reference")).cast("bigint").alias("nongtdb")
+    )
+    groups = ("gtdb", "nongtdb")
+    below = cut(subtree_sums(counted, list(groups)).select(F.col("node").alias("_node"), "top", *[F.col(g).alias(f"_{g}") for g in groups]))
+    totals = below.where(F.col("_node") == F.col("top")).select("top", *[F.col(f"_{g}").alias(f"_all_{g}") for g in groups])
+    held = below.join(totals, "top")
+    parents = counted.where(~_is_root()).select("node", "parent")
+    # the most a single child holds; a tip that is the whole group leaves its parent as the common ancestor
+    most = (
+        parents.join(below, F.col("node") == F.col("_node")).groupBy(F.col("parent").alias("_parent")).agg(*[F.max(f"_{g}").alias(f"_most_{g}") for g in groups])
+    )
+    marked = held.join(most, F.col("_node") == F.col("_parent"), "left")
+
+    def marks(group: str) -> Column:
+        own, every, child = (F.col(f"{prefix}{group}") for prefix in ("_", "_all_", "_most_"))
+        return (own > 0) & ((own < every) | (F.coalesce(child, F.lit(0)) < every))
+
+    marked = marked.select("_node", *[marks(g).alias(f"_on_{g}") for g in groups])
+    own = F.when(tip & F.col("_reference"), "gtdb").when(tip, "nongtdb")
+    inner = F.when(F.col("_on_gtdb"), "gtdb").when(F.col("_on_nongtdb"), "nongtdb").otherwise("0")
+    painted = flagged.join(marked, flagged["node"] == marked["_node"], "left")
+    return painted.withColumn("nongtdb_group", F.coalesce(own, inner)).drop("_node", "_on_gtdb", "_on_nongtdb", "_reference")
+
+
 def naming_groups(nodes: DataFrame) -> DataFrame:
     """Topmost non-reference node above each new tip, itself if it hangs on a reference node:
     ``node, genome, top``. Genomes of different groups never influence each other's names."""
