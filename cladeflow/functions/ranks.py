@@ -52,9 +52,28 @@ def closer_to_median(red: Column, parent_red: Column, median: Column) -> Column:
 
 
 def two_digits(value: Column) -> Column:
-    """``0.95``, ``0.3``, ``1``: two digits, half to even, without trailing zeros."""
-    text = F.bround(value, 2).cast("string")
-    return F.regexp_replace(text, r"\.0$", "")
+    """``0.95``, ``0.3``, ``1``: two digits without trailing zeros, rounded by the double's exact value.
+
+    0.285 lies a little below 0.285 and becomes 0.28; only values that are exactly half way (0.125) go to the even digit. The
+    fraction is taken apart into two numbers of 30 bits and a rest, and 200 times it is compared in whole numbers.
+    """
+    size, bits = F.abs(value), 2.0**30
+    whole = F.floor(size)
+    fraction = size - whole
+    high = F.floor(fraction * bits)
+    low = F.floor((fraction * bits - high) * bits)
+    rest = (fraction * bits - high) * bits - low
+    mask = F.lit(2**30 - 1).cast("bigint")
+    below = low * 200
+    above = high * 200 + F.shiftright(below, 30)
+    halves = F.shiftright(above, 30)  # so many half hundredths, and something more or nothing:
+    exact = (above.bitwiseAND(mask) == 0) & (below.bitwiseAND(mask) == 0) & (rest == 0)
+    down = F.shiftright(halves, 1)
+    up = (halves % 2 == 1) & (~exact | (down % 2 == 1))
+    hundredths = whole * 100 + down + up.cast("bigint")
+    unit, digits = F.floor(hundredths / 100).cast("string"), F.lpad((hundredths % 100).cast("string"), 2, "0")
+    text = F.when(hundredths % 100 == 0, unit).otherwise(F.concat(unit, F.lit("."), F.rtrim(digits, F.lit("0"))))
+    return F.when((value < 0) & (hundredths > 0), F.concat(F.lit("-"), text)).otherwise(text)
 
 
 def rank_table(spark: SparkSession, params) -> DataFrame:

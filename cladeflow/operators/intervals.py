@@ -28,7 +28,7 @@ def _rooted(nodes: DataFrame, values: list[str]) -> DataFrame:
 
 
 def subtree_sums(nodes: DataFrame, values: list[str]) -> DataFrame:
-    """Sums of the value columns over all proper descendants of each inner node, with its root and depth:
+    """Sums of the value columns (null counts as 0) over all proper descendants of each inner node, with its root and depth:
     ``node, top, depth`` and the sums. Nodes without children have no row.
 
     Values are summed per parent first, so tips take no part in the rounds. After k rounds a node holds the sums of all
@@ -39,7 +39,7 @@ def subtree_sums(nodes: DataFrame, values: list[str]) -> DataFrame:
 
 
 def _sums(rooted: DataFrame, values: list[str]) -> DataFrame:
-    direct = rooted.where(F.col("up").isNotNull()).groupBy(F.col("up").alias("node")).agg(*[F.sum(v).alias(v) for v in values])
+    direct = rooted.where(F.col("up").isNotNull()).groupBy(F.col("up").alias("node")).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(v) for v in values])
     at_root = F.col("up").isNull()
     state = rooted.select("node", "up").join(direct, "node").select(
         "node", F.col("up").alias("jump"), F.coalesce("up", "node").alias("top"), F.when(at_root, 0).otherwise(1).cast("bigint").alias("depth"), *values

@@ -33,32 +33,35 @@ def _raise_open(problem: str, rows: DataFrame) -> None:
     raise TreeError(f"{problem}, among them below node {', '.join(nodes)}")
 
 
-def jump_until_done(state: DataFrame, merge: Merge | None = None) -> DataFrame:
+def jump_until_done(state: DataFrame, merge: Merge | None = None, cycles: str = "raise") -> DataFrame:
     """Follow ``jump`` pointers until every row is ``done``.
 
     ``state`` has ``node``, ``jump``, ``done`` and payload columns describing the path from ``node``
     (included) to ``jump`` (excluded). ``merge[name](near, far)`` joins two adjoining stretches. A
-    pointer to a row that does not exist ends the path there. Cycles and repeated nodes raise TreeError.
+    pointer to a row that does not exist ends the path there. Repeated nodes raise TreeError, and so do cycles;
+    with ``cycles="keep"`` their rows come back undone, after more steps than there are nodes.
     """
     merge = merge or {}
     near, far = _named("near"), _named("far")
-    state = state.select("node", "jump", "done", *merge)
-    # Pointers that lead nowhere end here, so that later rounds need inner joins only, whose smaller side can be sent.
-    known = state.select(F.col("node").alias("_known"))
-    state = state.join(known, ~state["done"] & (state["jump"] == known["_known"]), "left").withColumn(
-        "done", F.col("done") | F.col("_known").isNull()
-    ).drop("_known")
-    step, count = cut_counting(state, open=~F.col("done"))
+    step, count = cut_counting(state.select("node", "jump", "done", *merge), open=~F.col("done"))
     arrived, limit = step.where("done"), _rounds(count["rows"])
     while count["open"]:
         open_rows = step.where("not done")
         if not limit:
+            if cycles == "keep":
+                return arrived.unionByName(open_rows)
             _raise_open("parents form a cycle", open_rows)
         # Rows that have arrived stay in the table of their round; only the others are written again.
+        ends = far("node").isNull()
         moved = (
             open_rows.alias("near")
-            .join(arrived.unionByName(open_rows).alias("far"), near("jump") == far("node"))
-            .select(near("node"), far("jump"), far("done"), *[join(near, far).alias(name) for name, join in merge.items()])
+            .join(arrived.unionByName(open_rows).alias("far"), near("jump") == far("node"), "left")
+            .select(
+                near("node"),
+                F.when(ends, near("jump")).otherwise(far("jump")).alias("jump"),
+                F.coalesce(far("done"), F.lit(True)).alias("done"),
+                *[F.when(ends, near(name)).otherwise(join(near, far)).alias(name) for name, join in merge.items()],
+            )
         )
         expected = count["open"]
         step, count = cut_counting(moved, open=~F.col("done"))
@@ -118,6 +121,28 @@ def nearest_marked(nodes: DataFrame, marked: str = "marked") -> DataFrame:
     return jump_until_done(state).select("node", F.col("jump").alias("reached"))
 
 
+def path_ends(nodes: DataFrame) -> DataFrame:
+    """Where the path of each node ends: ``node, kind, cycle``. Kind is ``root``, ``missing`` (a parent without row),
+    ``cycle`` (the node lies on one) or ``below_cycle``; cycle is the least node of the cycle."""
+    state = nodes.select(
+        "node", F.when(~_is_root(), F.col("parent")).alias("jump"), _is_root().alias("done"),
+        F.when(_is_root(), "root").alias("kind"), F.col("node").alias("least"),
+    )
+    reached = jump_until_done(
+        state, {"kind": lambda near, far: far("kind"), "least": lambda near, far: F.least(near("least"), far("least"))}, cycles="keep"
+    )
+    # As many steps as there are nodes end on the cycle, wherever they began, and reach all of it from there.
+    turning = reached.where("not done").select(F.col("jump").alias("_on")).distinct()
+    on_cycle = reached.join(turning, reached["node"] == turning["_on"]).select(F.col("node").alias("_on"), F.col("least").alias("_cycle"))
+    named = reached.join(on_cycle, F.when(~F.col("done"), F.col("jump")) == F.col("_on"), "left")
+    own = turning.withColumnRenamed("_on", "_own")
+    return named.join(own, named["node"] == own["_own"], "left").select(
+        "node",
+        F.when(F.col("done"), F.coalesce("kind", F.lit("missing"))).when(F.col("_own").isNotNull(), "cycle").otherwise("below_cycle").alias("kind"),
+        F.col("_cycle").alias("cycle"),
+    )
+
+
 def ancestors(nodes: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """All proper ancestors of the wanted nodes (a column ``node``; all nodes if there is none):
     ``node, ancestor, distance``, distance 1 for the parent.

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from cladeflow.functions.labels import label_issue
 from cladeflow.functions.ranks import rank_index, rank_word
-from cladeflow.operators.tree import new_tips, with_parent
+from cladeflow.operators.tree import new_tips, path_ends, with_parent
 from cladeflow.params import SPECIES
+from cladeflow.session import cut, cut_counting
 
 
 def tree_issues(nodes: DataFrame, by: list[str] | None = None) -> DataFrame:
     """``issue, node, genome`` for one tree, or for one per value of the columns ``by``, which are then added.
 
     ``red_not_increasing`` and ``reference_below_new`` are harmless to naming as such: the first may
-    let a rank be named twice on a path (the upper name then applies), the second is ignored.
+    let a rank be named twice on a path (the upper name then applies), the second is ignored. ``cycle``, ``below_cycle``,
+    ``below_missing_parent``, ``several_roots`` and ``no_root`` tell of tables that are no tree.
     """
     by = by or []
     nodes = nodes.withColumns(
@@ -44,7 +46,10 @@ def tree_issues(nodes: DataFrame, by: list[str] | None = None) -> DataFrame:
         "reference_below_new": F.col("gtdb") & ~F.col("parent_gtdb"),
     }
     no_genome = F.lit(None).cast("string").alias("genome")
-    found = linked.select("node", F.explode(_names_of(checks)).alias("issue")).select("issue", "node", no_genome)
+    # Where RED rises along every edge no path can turn back, and all of them end at a root.
+    flat = below_root & ~F.coalesce(F.col("red") > F.col("parent_red"), F.lit(False))
+    checked, count = cut_counting(linked.select("node", _names_of(checks).alias("issues"), flat.alias("flat")), flat=F.col("flat"))
+    found = checked.select("node", F.explode("issues").alias("issue")).select("issue", "node", no_genome)
 
     parents = inner.select(F.col("node").alias("_parent"))
     orphans = (
@@ -62,10 +67,41 @@ def tree_issues(nodes: DataFrame, by: list[str] | None = None) -> DataFrame:
         .where("count > 1")
         .select(F.lit("duplicate_genome").alias("issue"), "node", "genome")
     )
-    every = reduce(DataFrame.unionByName, [found, orphans, twice, named_twice])
+    every = [found, orphans, twice, named_twice, _root_issues(inner, by)]
+    if count["flat"]:
+        every.append(_path_issues(nodes, inner))
+    every = reduce(DataFrame.unionByName, every)
     return every.select("issue", F.col("node.node").alias("node"), "genome", *[F.col(f"node.{c}").alias(c) for c in by])
 
 
+def _root_issues(inner: DataFrame, by: list[str]) -> DataFrame:
+    """Each root of a tree that has several, and one row for a tree that has none."""
+    is_root = F.coalesce(F.col("parent") == F.col("node"), F.lit(True))
+    keys = [f"_{c}" for c in by] or ["_tree"]
+    tree = [F.col(f"node.{c}").alias(f"_{c}") for c in by] or [F.lit(0).alias("_tree")]
+    roots = inner.groupBy(*tree).agg(F.count_if(is_root).alias("_roots"), F.first("node").alias("_any"))
+    none = F.struct(*[F.col(f"_any.{c}").alias(c) for c in by], F.lit(None).cast("bigint").alias("node"))
+    rootless = roots.where("_roots = 0").select(F.lit("no_root").alias("issue"), none.alias("node"))
+    many = roots.where("_roots > 1").drop("_any")
+    listed = inner.where(is_root).select("node", *tree)
+    found = listed.join(many, keys).select(F.lit("several_roots").alias("issue"), "node").unionByName(rootless)
+    return found.withColumn("genome", F.lit(None).cast("string"))
+
+
+def _path_issues(nodes: DataFrame, inner: DataFrame) -> DataFrame:
+    """Nodes and tips whose path does not end at a root. An orphan itself is a ``missing_parent``."""
+    kinds = {"cycle": "cycle", "below_cycle": "below_cycle", "missing": "below_missing_parent"}
+    once = inner.select("node", "parent").dropDuplicates(["node"])
+    ends = cut(path_ends(once).select("node", F.col("kind")).where("kind <> 'root'"))
+    issue = F.coalesce(*[F.when(F.col("kind") == kind, name) for kind, name in kinds.items()])
+    parents = once.select(F.col("node").alias("_parent"))
+    own = ends.join(once, "node").join(parents, F.col("parent") == F.col("_parent"), "left")
+    listed = own.where((F.col("kind") != "missing") | F.col("_parent").isNotNull()).select(issue.alias("issue"), "node", F.lit(None).cast("string").alias("genome"))
+    tips = nodes.where(F.col("genome").isNotNull()).select("node", "parent", "genome")
+    above = ends.select(F.col("node").alias("parent"), F.when(F.col("kind") == "cycle", "below_cycle").otherwise(issue).alias("issue"))
+    return listed.unionByName(tips.join(above, "parent").select("issue", "node", "genome"))
+
+
 def _names_of(checks: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(holds, F.lit(name)) for name, holds in checks.items()]))
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeflow.operators.annotate import annotate_nodes
@@ -15,8 +16,9 @@ from cladeflow.operators.summary import summarise_clades
 from cladeflow.operators.validate import table_issues, tree_issues
 from cladeflow.params import DomainParams, as_domains
 from cladeflow.sources import tsv
-from cladeflow.session import cut
+from cladeflow.session import cut, cut_counting
 from cladeflow.sources.newick import newick_file_edges
+from cladeflow.sources.ordered import write_in_order
 
 
 class NamingError(ValueError):
@@ -36,7 +38,12 @@ class Results:
 
 
 # Findings that make results wrong or ambiguous; the others only tell of genomes left out.
-FATAL = ("missing_parent", "duplicate_node", "duplicate_genome", "duplicate_metadata", "duplicate_taxonomy")
+FATAL = (
+    "missing_parent", "duplicate_node", "duplicate_genome", "duplicate_metadata", "duplicate_taxonomy",
+    "cycle", "below_cycle", "below_missing_parent", "several_roots", "no_root",
+)
+# With these a table is no tree, and nothing can be named.
+ENDLESS = ("cycle", "below_cycle")
 
 
 def input_issues(nodes: DataFrame, metadata: DataFrame, gtdb_taxonomy: DataFrame) -> DataFrame:
@@ -66,15 +73,21 @@ def name_and_fill(
     params: DomainParams | list[DomainParams],
     mode: str = "least_common",
     strict: bool = False,
+    malformed: DataFrame | None = None,
 ) -> Results:
     """Checks, then both naming stages. ``nodes`` has a ``domain`` column if ``params`` has several domains.
 
     Inputs that are ambiguous (FATAL) raise in strict runs before anything is computed; else they are listed in ``issues``.
+    Nodes on or below a cycle of parents are listed and left out. ``malformed`` are rows that could not be read, as issues.
     """
     domains = as_domains(params)
-    inputs = cut(input_issues(nodes, metadata, gtdb_taxonomy).where(F.col("issue").isin(*FATAL)))
+    found = input_issues(nodes, metadata, gtdb_taxonomy).where(F.col("issue").isin(*FATAL))
+    inputs, count = cut_counting(found if malformed is None else found.unionByName(malformed), endless=F.col("issue").isin(*ENDLESS))
     if strict:
         _raise(inputs)
+    if count["endless"]:
+        key = ["node", *([] if "domain" not in nodes.columns else ["domain"])]
+        nodes = cut(nodes.join(inputs.where(F.col("issue").isin(*ENDLESS)).select(*key).distinct(), key, "left_anti"))
     naming = Naming(nodes, metadata, domains)
     fill = Fill(nodes, naming.genomes, naming.node_names, gtdb_taxonomy, domains, mode)
     left_out = naming.issues.unionByName(fill.issues)
@@ -113,26 +126,39 @@ def run_files(
 ) -> Results:
     """Name the trees of all domains in one job and write ``genome_taxonomy``, ``node_names`` and
     ``clade_summary`` below ``out``, each with one subfolder per domain."""
-    nodes = taxonomy = None
+    trees, lineages, broken = [], [], []
+    needed = {name: tsv.schemas.NODES[name] for name in ("parent", "node", "nongtdb_group", "genome", "magset", "RED", "novelty_red")}
     for part in inputs:
-        tree = tsv.read_nodes(
-            spark,
-            part.nodes,
-            {name: tsv.schemas.NODES[name] for name in ("parent", "node", "nongtdb_group", "genome", "magset", "RED", "novelty_red")},
-        ).withColumn("domain", F.lit(part.params.domain))
-        lineages = tsv.read_taxonomy(spark, part.taxonomy).withColumn("domain", F.lit(part.params.domain))
-        nodes = tree if nodes is None else nodes.unionByName(tree)
-        taxonomy = lineages if taxonomy is None else taxonomy.unionByName(lineages)
-    results = name_and_fill(nodes, tsv.read_metadata(spark, metadata), taxonomy, [part.params for part in inputs], strict=strict)
+        domain = F.lit(part.params.domain)
+        for (rows, issues), table, name in (
+            (tsv.read_nodes_checked(spark, part.nodes, needed), trees, "nodes"),
+            (tsv.read_taxonomy_checked(spark, part.taxonomy), lineages, "taxonomy"),
+        ):
+            table.append(rows.withColumn("domain", domain))
+            broken.append(malformed_rows(issues, name, domain))
+    quality, issues = tsv.read_metadata_checked(spark, metadata)
+    broken.append(malformed_rows(issues, "metadata", F.lit(None).cast("string")))
+    nodes, taxonomy, malformed = (reduce(DataFrame.unionByName, tables) for tables in (trees, lineages, broken))
+    results = name_and_fill(nodes, quality, taxonomy, [part.params for part in inputs], strict=strict, malformed=malformed)
     write_results(results, out)
     return results
 
 
+def malformed_rows(issues: DataFrame, table: str, domain: Column) -> DataFrame:
+    """Rows of a file that could not be read, as issues of a run: ``genome`` is the text of the row."""
+    return issues.select(
+        F.concat(F.lit(f"malformed_{table}_"), "issue").alias("issue"), F.lit(None).cast("bigint").alias("node"), F.col("record").alias("genome"), domain.alias("domain")
+    )
+
+
+def names_order() -> list[Column]:
+    return [F.col("clade"), F.col("node").asc_nulls_last(), F.col("genome_rep")]
+
+
 def write_results(results: Results, out: str) -> None:
     """Tables below ``out`` with one subfolder per domain; node names in order of clade."""
-    names = results.node_names.orderBy("domain", "clade", F.col("node").asc_nulls_last())
     tsv.write_per_domain(results.genome_taxonomy, f"{out}/genome_taxonomy")
-    tsv.write_per_domain(names, f"{out}/node_names")
+    write_in_order(results.node_names, f"{out}/node_names", names_order(), "domain")
     # few rows: sources by domain
     tsv.write_per_domain(results.clade_summary.coalesce(1), f"{out}/clade_summary")
 
