@@ -38,8 +38,11 @@ def normal_words(text: bytes) -> list[bytes]:
     return text.translate(_CLEAN).split()
 
 
-def text_map(frame: DataFrame, schema: str, column: str, per_text: Callable[[bytes], tuple]) -> DataFrame:
-    """The frame with the columns of the schema, computed from each whole text. Only the text goes to Python."""
+def text_map(frame: DataFrame, schema: str, column: str, per_text: Callable[[bytes], tuple], once: bool = False) -> DataFrame:
+    """The frame with the columns of the schema, computed from each whole text. Only the text goes to Python.
+
+    once: Spark must not work the columns out a second time for a filter on one of them.
+    """
 
     @F.arrow_udf(f"struct<{schema.replace(' ', ':').replace(',:', ',')}>")
     def read(texts: pa.Array) -> pa.Array:
@@ -49,6 +52,7 @@ def text_map(frame: DataFrame, schema: str, column: str, per_text: Callable[[byt
     kinds = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
     fields = [tuple(part.split()) for part in schema.split(", ")]
     names = [n for n, _ in fields]
+    read = read.asNondeterministic() if once else read
     return frame.withColumn("_read", read(F.col(column))).select(*[f"`{c}`" for c in frame.columns], "_read.*")
 
 

@@ -76,7 +76,7 @@ def measure(text: bytes) -> tuple[int, ...]:
 
 def counts(documents: DataFrame, *, text: str = "text") -> DataFrame:
     """The documents with their counts and base_failed."""
-    found = text_map(documents.drop(*_COUNTS), ", ".join(f"{c} bigint" for c in _COUNTS), text, measure)
+    found = text_map(documents.drop(*_COUNTS), ", ".join(f"{c} bigint" for c in _COUNTS), text, measure, once=True)
     return found.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
