@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cladeflow.functions.taxonomy import anchor_node, below_anchor, genus_of, is_complete, species_name
 from cladeflow.operators.keys import NodeKeys
-from cladeflow.operators.tree import jump_until_done, nearest_marked
+from cladeflow.operators.tree import farther, nearest_marked
 from cladeflow.params import RANK_LETTERS, SPECIES, DomainParams, as_domains, preset
 from cladeflow.session import cut, cut_counting
 
@@ -52,7 +52,7 @@ def prefix_votes(nodes: DataFrame, wanted: DataFrame, gtdb_taxonomy: DataFrame)
         "node", "parent", F.col("_wanted").isNotNull().alias("marked"), "finest"
     )
     marked = cut(marked)
-    reached = cut(nearest_marked(marked).where(F.col("reached").isNotNull()))
+    reached = nearest_marked(marked).where(F.col("reached").isNotNull())
     reached_from = reached.select(F.col("node").alias("parent"), F.col("reached").alias("up"))
 
     links = (
@@ -60,11 +60,7 @@ def prefix_votes(nodes: DataFrame, wanted: DataFrame, gtdb_taxonomy: DataFrame)
         .join(reached_from, "parent", "left")
         .select("node", F.when(F.col("node") != F.col("parent"), F.col("up")).alias("jump"), "finest")
     )
-    needed = jump_until_done(
-        links.withColumn("done", F.col("jump").isNull()),
-        {"finest": lambda near, far: F.greatest(near("finest"), far("finest"))},
-    ).select("node", "finest")
-    needed = cut(needed)
+    steps, needed = _wanted_steps(links)
 
     # Genomes are counted per node and full lineage before anything else, so what meets at a node afterwards is one row
     # per lineage, and these are dealt by node and lineage.
@@ -91,18 +87,20 @@ def prefix_votes(nodes: DataFrame, wanted: DataFrame, gtdb_taxonomy: DataFrame)
     )
     votes = cut(votes)
 
-    finest_there = needed.select(F.col("node").alias("jump"), F.col("finest").alias("finest_there"))
-    steps, count = cut_counting(links.where(F.col("jump").isNotNull()).select("node", "jump").join(finest_there, "jump"))
-    # needed was found along the same pointers, so they end
-    while count["rows"]:
-        # After k rounds each node holds the votes of all wanted nodes less than 2^k steps below.
-        sent = votes.join(steps, "node").select(
-            F.col("jump").alias("node"),
-            F.when(F.col("odd"), F.col("lineage"))
-            .otherwise(leading_ranks(F.col("lineage"), F.col("finest_there")))
-            .alias("lineage"),
-            "odd",
-            "votes",
+    finest_there = needed.withColumnRenamed("finest", "finest_there")
+    for step in steps:
+        # After k rounds each node holds the votes of all wanted nodes less than 4^k steps below.
+        targets = F.explode(F.array_compact(F.array("jump", "jump2", "jump3")))
+        sent = (
+            votes.join(step.where(F.col("jump").isNotNull()), "node")
+            .select(targets.alias("node"), "lineage", "odd", "votes")
+            .join(finest_there, "node")
+            .select(
+                "node",
+                F.when(F.col("odd"), F.col("lineage")).otherwise(leading_ranks(F.col("lineage"), F.col("finest_there"))).alias("lineage"),
+                "odd",
+                "votes",
+            )
         )
         votes = cut(
             votes.unionByName(sent)
@@ -110,15 +108,27 @@ def prefix_votes(nodes: DataFrame, wanted: DataFrame, gtdb_taxonomy: DataFrame)
             .groupBy("node", "lineage", "odd")
             .agg(F.sum("votes").alias("votes"))
         )
-        onward = steps.select(F.col("node").alias("_via"), F.col("jump").alias("_next"), F.col("finest_there").alias("_finest"))
-        steps, count = cut_counting(
-            steps.join(onward, steps["jump"] == onward["_via"]).select(
-                "node", F.col("_next").alias("jump"), F.col("_finest").alias("finest_there")
-            )
-        )
     return votes
 
 
+def _wanted_steps(links: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Per round the wanted nodes one, two and three times 4^k steps above each, ``node, jump, jump2, jump3``; and the finest
+    rank that any of them or the node itself asks for, ``node, finest``. ``links``: ``node, jump, finest``.
+
+    nearest_marked has followed the same pointers, so they end.
+    """
+    steps = []
+    while True:
+        ranks = F.greatest("finest", "finest1", "finest2", "finest3")
+        far, count = cut_counting(
+            farther(links, links, ["finest"]).select("node", "jump", "jump2", "jump3", "jump4", ranks.alias("finest")), open=F.col("jump4").isNotNull()
+        )
+        steps.append(far.select("node", "jump", "jump2", "jump3"))
+        if not count["open"]:
+            return steps, far.select("node", "finest")
+        links = far.select("node", F.col("jump4").alias("jump"), "finest")
+
+
 def vote_prefix(votes: DataFrame, wanted: DataFrame, mode: str = "least_common") -> DataFrame:
     """The lineage above ``rank`` per wanted node: ``node, rank, prefix``.
 

@@ -1,8 +1,8 @@
 """Tree traversals as joins.
 
 A tree is a node table with ``node`` and ``parent``; a root is its own parent. Paths are followed by
-pointer jumping: each round doubles the distance covered, so a tree of depth D takes about log2(D)
-rounds of one self-join each. The joined side always has one row per key, so a hot key (a node with
+pointer jumping: each round looks three pointers up in the table of the last one, so the distance covered
+grows four times, and a tree of depth D takes about log4(D) rounds. The joined side always has one row per key, so a hot key (a node with
 very many children) only makes the other side large, which adaptive execution splits; values sent
 upwards are combined per target before and after the shuffle.
 """
@@ -19,6 +19,11 @@ from cladeflow.session import cut, cut_counting
 Merge = dict[str, Callable[[Callable[[str], Column], Callable[[str], Column]], Column]]
 
 
+# Lookups in one table a round: the distance covered grows by one more than this, and the rounds, each a job that writes its
+# open rows, become fewer.
+HOPS = 3
+
+
 class TreeError(ValueError):
     """The parents do not form a tree."""
 
@@ -42,7 +47,6 @@ def jump_until_done(state: DataFrame, merge: Merge | None = None, cycles: str =
     with ``cycles="keep"`` their rows come back undone, after more steps than there are nodes.
     """
     merge = merge or {}
-    near, far = _named("near"), _named("far")
     step, count = cut_counting(state.select("node", "jump", "done", *merge), open=~F.col("done"))
     arrived, limit = step.where("done"), _rounds(count["rows"])
     while count["open"]:
@@ -52,17 +56,9 @@ def jump_until_done(state: DataFrame, merge: Merge | None = None, cycles: str =
                 return arrived.unionByName(open_rows)
             _raise_open("parents form a cycle", open_rows)
         # Rows that have arrived stay in the table of their round; only the others are written again.
-        ends = far("node").isNull()
-        moved = (
-            open_rows.alias("near")
-            .join(arrived.unionByName(open_rows).alias("far"), near("jump") == far("node"), "left")
-            .select(
-                near("node"),
-                F.when(ends, near("jump")).otherwise(far("jump")).alias("jump"),
-                F.coalesce(far("done"), F.lit(True)).alias("done"),
-                *[F.when(ends, near(name)).otherwise(join(near, far)).alias(name) for name, join in merge.items()],
-            )
-        )
+        known, moved = arrived.unionByName(open_rows), open_rows
+        for _ in range(HOPS):
+            moved = _hop(moved, known, merge)
         expected = count["open"]
         step, count = cut_counting(moved, open=~F.col("done"))
         if count["rows"] != expected:
@@ -71,6 +67,18 @@ def jump_until_done(state: DataFrame, merge: Merge | None = None, cycles: str =
     return arrived
 
 
+def _hop(rows: DataFrame, known: DataFrame, merge: Merge) -> DataFrame:
+    """Rows that are not done go on to where the row they point to leads; they are done where there is no such row."""
+    near, far = _named("near"), _named("far")
+    stays = far("node").isNull()
+    return rows.alias("near").join(known.alias("far"), (near("jump") == far("node")) & ~near("done"), "left").select(
+        near("node"),
+        F.when(stays, near("jump")).otherwise(far("jump")).alias("jump"),
+        F.coalesce(far("done"), F.lit(True)).alias("done"),
+        *[F.when(stays, near(name)).otherwise(join(near, far)).alias(name) for name, join in merge.items()],
+    )
+
+
 def _named(side: str) -> Callable[[str], Column]:
     return lambda column: F.col(f"{side}.{column}")
 
@@ -205,31 +213,44 @@ def any_descendant(nodes: DataFrame, flagged: str) -> DataFrame:
     """Internal nodes above a tip for which the column ``flagged`` holds: ``node``.
 
     Flags travel up along the jump pointers: after k rounds a flag has reached all ancestors less
-    than 2^k edges away.
+    than 4^k edges away.
     """
     inner = nodes.where(F.col("genome").isNull())
     seeds = nodes.where(F.col("genome").isNotNull() & F.col(flagged)).select(F.col("parent").alias("node")).distinct()
     seeds = cut(inner.select("node").join(seeds, "node", "left_semi"))
-    state, count = cut_counting(
-        inner.where(~_is_root()).select("node", F.col("parent").alias("jump")).join(
-            seeds.withColumn("flag", F.lit(True)), "node", "left"
-        ).select("node", "jump", F.coalesce("flag", F.lit(False)).alias("flag"))
-    )
-    above, limit = seeds, _rounds(count["rows"] + 1)
-    while count["rows"]:
+    pointers = inner.where(~_is_root()).select("node", F.col("parent").alias("jump"))
+    state = pointers.join(seeds.withColumn("flag", F.lit(True)), "node", "left").withColumn("flag", F.coalesce("flag", F.lit(False)))
+    above, rows, limit = seeds, None, 1
+    while True:
+        state, count = cut_counting(farther(state, pointers), open=F.col("jump4").isNotNull())
+        if rows is None:
+            limit = _rounds(count["rows"] + 1)
+        elif count["rows"] > rows:
+            _raise_open("nodes are listed more than once", state)
+        # a flag has reached all ancestors nearer than four times the distance
+        sent = state.where("flag").select(F.explode(F.array_compact(F.array("jump", "jump2", "jump3"))).alias("node")).distinct()
+        above = above.unionByName(sent)
+        if not count["open"]:
+            return inner.select("node").join(above.distinct(), "node", "left_semi")
         if not limit:
             _raise_open("parents form a cycle", state)
-        sent = state.where("flag").select(F.col("jump").alias("node")).distinct()
-        above = above.unionByName(sent)
-        onward = state.select(F.col("node").alias("_via"), F.col("jump").alias("_next"))
         # A pointer that leads to the top has nothing more to tell: only rows that can go on are written again.
-        moved = state.join(onward, state["jump"] == onward["_via"]).join(sent.withColumn("_now", F.lit(True)), "node", "left")
-        before = count["rows"]
-        state, count = cut_counting(moved.select("node", F.col("_next").alias("jump"), (F.col("flag") | F.col("_now").isNotNull()).alias("flag")))
-        if count["rows"] > before:
-            _raise_open("nodes are listed more than once", state)
-        limit -= 1
-    return inner.select("node").join(above.distinct(), "node", "left_semi")
+        going = state.where(F.col("jump4").isNotNull())
+        pointers = going.select("node", F.col("jump4").alias("jump"))
+        state = going.join(sent.withColumn("_now", F.lit(True)), "node", "left").select(
+            "node", F.col("jump4").alias("jump"), (F.col("flag") | F.col("_now").isNotNull()).alias("flag")
+        )
+        rows, limit = count["rows"], limit - 1
+
+
+def farther(state: DataFrame, pointers: DataFrame, values: list[str] = ()) -> DataFrame:
+    """``state`` (with ``jump``) and the targets two, three and four times as far: ``jump2`` to ``jump4``, null beyond the top.
+    With the values of the targets before the last: ``<name>1`` to ``<name>3``."""
+    for k in (1, 2, 3):
+        last = "jump" if k == 1 else f"jump{k}"
+        onward = pointers.select(F.col("node").alias("_via"), F.col("jump").alias(f"jump{k + 1}"), *[F.col(v).alias(f"{v}{k}") for v in values])
+        state = state.join(onward, state[last] == onward["_via"], "left").drop("_via")
+    return state
 
 
 def paint_groups(nodes: DataFrame, reference: Column | None = None, reach: str = "root") -> DataFrame:

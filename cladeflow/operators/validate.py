@@ -14,12 +14,13 @@ from cladeflow.params import SPECIES
 from cladeflow.session import cut, cut_counting
 
 
-def tree_issues(nodes: DataFrame, by: list[str] | None = None) -> DataFrame:
+def tree_issues(nodes: DataFrame, by: list[str] | None = None, one_root: bool = False) -> DataFrame:
     """``issue, node, genome`` for one tree, or for one per value of the columns ``by``, which are then added.
 
     ``red_not_increasing`` and ``reference_below_new`` are harmless to naming as such: the first may
     let a rank be named twice on a path (the upper name then applies), the second is ignored. ``cycle``, ``below_cycle``,
-    ``below_missing_parent``, ``several_roots`` and ``no_root`` tell of tables that are no tree.
+    ``below_missing_parent`` and ``no_root`` tell of tables that are no tree, and ``several_roots`` of those that hold more
+    than one where ``one_root`` is asked for.
     """
     by = by or []
     nodes = nodes.withColumns(
@@ -67,22 +68,22 @@ def tree_issues(nodes: DataFrame, by: list[str] | None = None) -> DataFrame:
         .where("count > 1")
         .select(F.lit("duplicate_genome").alias("issue"), "node", "genome")
     )
-    every = [found, orphans, twice, named_twice, _root_issues(inner, by)]
+    every = [found, orphans, twice, named_twice, _root_issues(inner, by, one_root)]
     if count["flat"]:
         every.append(_path_issues(nodes, inner))
     every = reduce(DataFrame.unionByName, every)
     return every.select("issue", F.col("node.node").alias("node"), "genome", *[F.col(f"node.{c}").alias(c) for c in by])
 
 
-def _root_issues(inner: DataFrame, by: list[str]) -> DataFrame:
-    """Each root of a tree that has several, and one row for a tree that has none."""
+def _root_issues(inner: DataFrame, by: list[str], one_root: bool) -> DataFrame:
+    """One row for a tree that has no root, and each root of a tree that has several and must not."""
     is_root = F.coalesce(F.col("parent") == F.col("node"), F.lit(True))
     keys = [f"_{c}" for c in by] or ["_tree"]
     tree = [F.col(f"node.{c}").alias(f"_{c}") for c in by] or [F.lit(0).alias("_tree")]
     roots = inner.groupBy(*tree).agg(F.count_if(is_root).alias("_roots"), F.first("node").alias("_any"))
     none = F.struct(*[F.col(f"_any.{c}").alias(c) for c in by], F.lit(None).cast("bigint").alias("node"))
     rootless = roots.where("_roots = 0").select(F.lit("no_root").alias("issue"), none.alias("node"))
-    many = roots.where("_roots > 1").drop("_any")
+    many = roots.where(F.lit(one_root) & (F.col("_roots") > 1)).drop("_any")
     listed = inner.where(is_root).select("node", *tree)
     found = listed.join(many, keys).select(F.lit("several_roots").alias("issue"), "node").unionByName(rootless)
     return found.withColumn("genome", F.lit(None).cast("string"))

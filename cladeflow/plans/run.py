@@ -46,10 +46,11 @@ FATAL = (
 ENDLESS = ("cycle", "below_cycle")
 
 
-def input_issues(nodes: DataFrame, metadata: DataFrame, gtdb_taxonomy: DataFrame) -> DataFrame:
-    """``issue, node, genome``, with a domain column if ``nodes`` has one: checks on all inputs of a run."""
+def input_issues(nodes: DataFrame, metadata: DataFrame, gtdb_taxonomy: DataFrame, one_root: bool = False) -> DataFrame:
+    """``issue, node, genome``, with a domain column if ``nodes`` has one: checks on all inputs of a run. ``one_root``: whether
+    the nodes (of each domain) have to be one tree."""
     by = ["domain"] if "domain" in nodes.columns else []
-    found = tree_issues(nodes, by)
+    found = tree_issues(nodes, by, one_root)
     for frame, name, issue in ((metadata, "Name", "duplicate_metadata"), (gtdb_taxonomy, "genome", "duplicate_taxonomy")):
         own = [c for c in by if c in frame.columns]
         repeated = table_issues(frame, [*own, name], issue)
@@ -74,6 +75,7 @@ def name_and_fill(
     mode: str = "least_common",
     strict: bool = False,
     malformed: DataFrame | None = None,
+    one_root: bool = False,
 ) -> Results:
     """Checks, then both naming stages. ``nodes`` has a ``domain`` column if ``params`` has several domains.
 
@@ -81,7 +83,7 @@ def name_and_fill(
     Nodes on or below a cycle of parents are listed and left out. ``malformed`` are rows that could not be read, as issues.
     """
     domains = as_domains(params)
-    found = input_issues(nodes, metadata, gtdb_taxonomy).where(F.col("issue").isin(*FATAL))
+    found = input_issues(nodes, metadata, gtdb_taxonomy, one_root).where(F.col("issue").isin(*FATAL))
     inputs, count = cut_counting(found if malformed is None else found.unionByName(malformed), endless=F.col("issue").isin(*ENDLESS))
     if strict:
         _raise(inputs)
@@ -139,7 +141,7 @@ def run_files(
     quality, issues = tsv.read_metadata_checked(spark, metadata)
     broken.append(malformed_rows(issues, "metadata", F.lit(None).cast("string")))
     nodes, taxonomy, malformed = (reduce(DataFrame.unionByName, tables) for tables in (trees, lineages, broken))
-    results = name_and_fill(nodes, quality, taxonomy, [part.params for part in inputs], strict=strict, malformed=malformed)
+    results = name_and_fill(nodes, quality, taxonomy, [part.params for part in inputs], strict=strict, malformed=malformed, one_root=True)
     write_results(results, out)
     return results
 

@@ -1,19 +1,29 @@
 """Newick trees to node tables.
 
-Every tree is one text, but its tokens are spread over tasks: running counts along a tree are taken in
-two steps, within pieces of bounded length and over the pieces, so a very large tree is no hot group.
+Texts are cut into chunks, behind a comma or before a bracket. What a chunk means depends on whether it begins within a
+quoted label or a comment, so each chunk first tells how it ends for each of the three ways it may begin. These transitions
+are combined over chunks, within pieces of bounded length and over the pieces; every chunk is then taken apart on its own.
+Only the parts of a quoted label that goes over several chunks are put together again. Running counts along a tree are taken
+in the same two steps, so a very large tree is no hot group.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cladeflow.operators.running import PIECE, running
 from cladeflow.session import cut, cut_counting
 
-# Quoted label (a doubled quote stands for one), comment, punctuation, branch length, plain label.
-TOKEN = r"('(?:[^']|'')*'|\[[^\]]*\]|[(),;]|:[0-9eE.+-]+|[^(),:;'\s\[]+)"
+# Quoted label (a doubled quote stands for one), comment, punctuation, branch length, plain label (in which a
+# quote is a sign like any other, unless it comes first).
+COMPLETE = r"'[^']*(?:''[^']*)*'(?!')|\[[^\]]*\]|[(),;]|:[0-9eE.+-]+|[^(),:;'\s\[][^(),:;\s\[]*"
+# A quote or comment that is not closed goes on to the end.
+TOKEN = rf"({COMPLETE}|'[^']*(?:''[^']*)*$|\[[^\]]*$)"
+CLOSING = r"^([^']*(?:''[^']*)*'(?!'))"
+# Characters after which a chunk ends before the next bracket.
+LONG = 4096
 
 
 class NewickError(ValueError):
@@ -35,7 +45,10 @@ def _length(token: Column) -> Column:
 
 def _in_context(texts: DataFrame, text: str, *columns: str) -> DataFrame:
     """``pos, token, prev, next, after`` per token of each text: its place and its neighbours."""
-    listed = texts.select(*columns, _tokens(text).alias("_tokens"))
+    return _around(texts.select(*columns, _tokens(text).alias("_tokens")), *columns)
+
+
+def _around(listed: DataFrame, *columns: str) -> DataFrame:
     around = F.transform(
         "_tokens",
         lambda token, at: F.struct(
@@ -49,19 +62,25 @@ def _in_context(texts: DataFrame, text: str, *columns: str) -> DataFrame:
     return listed.select(*columns, F.explode(around).alias("_token")).select(*columns, "_token.*")
 
 
-def text_tokens(trees: DataFrame) -> DataFrame:
-    """Tokens of ``trees(tree_id, newick)``: ``tree_id, pos, token, prev, next, after``."""
-    return _in_context(trees, "newick", "tree_id")
+def text_tokens(trees: DataFrame, piece: int = PIECE, long: int = LONG) -> DataFrame:
+    """Tokens of ``trees(tree_id, newick)``: ``tree_id, pos, token, prev, next, after``. Short texts are taken apart as they
+    are, the chunks of long ones are spread over tasks."""
+    too_long = F.length("newick") > long
+    short = _in_context(trees.where(~too_long), "newick", "tree_id")
+    if trees.where(too_long).isEmpty():
+        return short
+    parts = F.posexplode(_chunks(F.col("newick"), long)).alias("at", "text")
+    chunks = trees.where(too_long).select("tree_id", parts).withColumn("at", F.col("at").cast("bigint"))
+    return short.unionByName(chunk_tokens(cut(chunks.repartition("tree_id", "at")), piece))
 
 
-def file_tokens(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame:
-    """The same for a file holding one tree, however large: the file is read in parallel, split at its
-    commas. Stretches between commas are put in order by their place in the file, and joined again
-    where a comma belongs to a quoted label. Comments in files must not hold commas or quotes."""
+def file_tokens(spark: SparkSession, path: str, piece: int = PIECE, long: int = LONG) -> DataFrame:
+    """The same for a file holding one tree, however large: the file is read in parallel, split at its commas, wherever they
+    stand. Stretches between commas are put in order by their place in the file."""
     read = spark.read.option("lineSep", ",").text(path).select(
         F.col("value"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row")
     )
-    read = cut(read)
+    read = cut(read.withColumn("_parts", _chunks(F.concat("value", F.lit(",")), long)).drop("value"))
     files = [row[0] for row in read.select("_file").distinct().take(2)]
     if len(files) > 1:
         raise NewickError(f"one file with one tree is asked for, found {' and '.join(files)}")
@@ -69,41 +88,127 @@ def file_tokens(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame
     # One row per split of the file.
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select("_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit("'"), F.lit("")))
     stretches = read.join(F.broadcast(starts), "_block").select(
-        F.lit(1).cast("bigint").alias("tree_id"),
-        (F.col("_row") - F.col("_first") + F.col("_start")).alias("at"),
-        "value",
-        quotes.alias("_own"),
-        quotes.alias("_quotes"),
+        F.lit(1).cast("bigint").alias("tree_id"), (F.col("_row") - F.col("_first") + F.col("_start")).alias("at"), F.size("_parts").alias("_own"), F.size("_parts").alias("_end"), "_parts"
+    )
+    counted = running(stretches, ["tree_id"], "at", ["_end"], piece=piece)
+    chunks = counted.select("tree_id", (F.col("_end") - F.col("_own")).alias("_start"), F.posexplode("_parts").alias("_part", "text"))
+    return chunk_tokens(cut(chunks.select("tree_id", (F.col("_start") + F.col("_part")).cast("bigint").alias("at"), "text")), piece)
+
+
+def _chunks(text: Column, long: int) -> Column:
+    """A text in stretches of about ``long`` characters that end before a bracket."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(.{{{long}}}[^()]*|.+)"), F.lit(1))
+
+
+def _end(text: Column) -> Column:
+    """How a chunk ends that begins outside of labels and comments: ``n``, or within a quoted label ``q`` or a comment ``c``."""
+    open_sign = F.regexp_extract(F.regexp_replace(text, COMPLETE, ""), r"(['\[])", 1)
+    return F.when(open_sign == "'", "q").when(open_sign == "[", "c").otherwise("n")
+
+
+def _transition(text: Column) -> Column:
+    """How a chunk ends if it begins as n, q or c: three letters."""
+    closed, comment = F.regexp_extract(text, CLOSING, 1), F.instr(text, "]")
+    from_q = F.when(closed == "", "q").otherwise(_end(F.substr(text, F.length(closed) + 1)))
+    from_c = F.when(comment == 0, "c").otherwise(_end(F.substr(text, comment + 1)))
+    return F.when(~text.rlike(r"['\[\]]"), "nqc").otherwise(F.concat(_end(text), from_q, from_c))
+
+
+def _after(code: str, state: str) -> str:
+    return code["nqc".index(state)]
+
+
+def _states(chunks: DataFrame, piece: int) -> DataFrame:
+    """The chunks with ``state``, in which each begins, and ``ends``. A piece of so many chunks is one group, of letters only."""
+    told = cut(chunks.withColumn("code", _transition(F.col("text"))))
+    marks = told.where("code <> 'nqc'").select("tree_id", "at", "code", F.expr(f"at div {piece}").alias("piece"))
+
+    def whole(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        ends = "nqc"
+        for code in rows.sort_values("at")["code"]:
+            ends = "".join(_after(code, s) for s in ends)
+        return pd.DataFrame({"tree_id": [key[0]], "piece": [key[1]], "code": [ends]})
+
+    def over_pieces(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows, state, begun = rows.sort_values("piece"), "n", []
+        for code in rows["code"]:
+            begun.append(state)
+            state = _after(code, state)
+        return pd.DataFrame({"tree_id": rows["tree_id"], "piece": rows["piece"], "begun": begun})
+
+    def within(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows, states = rows.sort_values("at"), []
+        state = rows["begun"].iloc[0]
+        for code in rows["code"]:
+            states.append(state)
+            state = _after(code, state)
+        ends = [_after(code, s) for code, s in zip(rows["code"], states, strict=True)]
+        return pd.DataFrame({"tree_id": rows["tree_id"], "at": rows["at"], "state": states, "ends": ends})
+
+    totals = marks.groupBy("tree_id", "piece").applyInPandas(whole, "tree_id bigint, piece bigint, code string")
+    # one row for each piece of a tree
+    heads = totals.groupBy("tree_id").applyInPandas(over_pieces, "tree_id bigint, piece bigint, begun string")
+    known = marks.join(heads, ["tree_id", "piece"]).groupBy("tree_id", "piece").applyInPandas(within, "tree_id bigint, at bigint, state string, ends string")
+    # All other chunks begin and end as the last of these has ended.
+    number = F.coalesce(F.instr(F.lit("nqc"), F.col("ends")) - 1 + 4 * (F.col("at") + 1), F.lit(0)).cast("bigint")
+    placed = told.drop("code").join(known, ["tree_id", "at"], "left").withColumn("_last", number)
+    lasting = running(placed, ["tree_id"], "at", maxima=["_last"], piece=piece)
+    last = F.substr(F.lit("nqc"), (F.col("_last") % 4 + 1).cast("int"), F.lit(1))
+    return lasting.select("tree_id", "at", "text", F.coalesce("state", last).alias("state"), F.coalesce("ends", last).alias("ends"))
+
+
+def chunk_tokens(chunks: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Tokens of ``chunks(tree_id, at, text)``, numbered from 0 in each tree: ``tree_id, pos, token, prev, next, after``."""
+    known = _states(chunks, piece)
+    quoted, in_comment = F.col("state") == "q", F.col("state") == "c"
+    closed, comment = F.regexp_extract("text", CLOSING, 1), F.instr("text", "]")
+    # What belongs to the label or comment that has begun before.
+    head = F.when(quoted, F.when(closed == "", F.col("text")).otherwise(closed)).when(
+        in_comment, F.when(comment == 0, F.col("text")).otherwise(F.substr("text", F.lit(1), comment))
+    ).otherwise("")
+    parted = known.select("tree_id", "at", "state", "ends", head.alias("head"), F.substr("text", F.length(head) + 1).alias("body"))
+    parted = parted.withColumn("tokens", _tokens("body"))
+    opens = (F.col("ends") == "q") & F.element_at(F.col("tokens"), -1).startswith("'")
+    parted = parted.withColumn("opens", F.coalesce((F.size("tokens") > 0) & opens, F.lit(False)).cast("bigint")).withColumn("label_no", F.col("opens"))
+    size = F.size("tokens").cast("bigint")
+    parted = cut(parted.withColumn("n", size).withColumn("end", size).withColumn("full_no", (size > 0).cast("bigint")))
+    sums = ["label_no", "end", "full_no"]
+    counted = running(parted.select("tree_id", "at", *sums), ["tree_id"], "at", sums=sums, piece=piece)
+    placed = cut(parted.drop(*sums).join(counted, ["tree_id", "at"]).withColumn("first", F.col("end") - F.col("n")))
+
+    # Labels that go over several chunks: the part that opens one stands last in its chunk.
+    pieces = placed.where("opens = 1").select("tree_id", "label_no", "at", F.element_at("tokens", -1).alias("part")).unionByName(
+        placed.where("state = 'q'").select("tree_id", (F.col("label_no") - F.col("opens")).alias("label_no"), "at", F.col("head").alias("part"))
     )
-    counted = running(stretches, ["tree_id"], "at", ["_quotes"], piece=piece)
-    opens = ((F.col("_quotes") - F.col("_own")) % 2 == 0).cast("int")
-    segments = (
-        running(counted.withColumn("segment", opens), ["tree_id"], "at", ["segment"], piece=piece)
-        .groupBy("tree_id", "segment")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("_parts"))
-        .select("tree_id", "segment", F.array_join(F.transform("_parts", lambda part: part["value"]), ",").alias("text"))
-        # The comma behind a segment is its last token, the one before it only tells what comes before.
-        .select(
-            "tree_id",
-            (F.col("segment") - 1).alias("segment"),
-            (F.col("segment") > 1).cast("bigint").alias("_lead"),
-            F.concat(F.when(F.col("segment") > 1, ",").otherwise(""), F.col("text"), F.lit(",")).alias("text"),
-        )
+    labels = pieces.groupBy("tree_id", "label_no").agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("parts"))
+    said = F.array_join(F.transform("parts", lambda x: x["part"]), "")
+    labels = labels.select("tree_id", "label_no", said.alias("whole"), F.lit(1).cast("bigint").alias("opens"))
+    joined = F.concat(F.slice("tokens", F.lit(1), F.col("n").cast("int") - 1), F.array("whole"))
+    full = placed.where("n > 0").join(labels, ["tree_id", "label_no", "opens"], "left").select(
+        "tree_id", "full_no", "first", "n", F.when(F.col("whole").isNotNull(), joined).otherwise(F.col("tokens")).alias("tokens")
     )
-    segments = cut(segments.withColumn("_count", F.size(_tokens("text")) - F.col("_lead")))
-    ends = running(segments.select("tree_id", "segment", "_count", F.col("_count").alias("_end")), ["tree_id"], "segment", ["_end"], piece=piece)
-    placed = segments.drop("_count").join(
-        ends.select("segment", (F.col("_end") - F.col("_count")).alias("_start")), "segment"
+    full = cut(full)
+
+    # The neighbours of a chunk's tokens: the last token before it and the first two behind it.
+    def beside(step: int, **tokens: Column) -> DataFrame:
+        return full.select("tree_id", (F.col("full_no") + step).alias("full_no"), *[token.alias(name) for name, token in tokens.items()])
+
+    one, two = F.get("tokens", F.lit(0)), F.get("tokens", F.lit(1))
+    around = (
+        full.join(beside(1, before=F.element_at("tokens", -1)), ["tree_id", "full_no"], "left")
+        .join(beside(-1, next1=one, next2=two), ["tree_id", "full_no"], "left")
+        .join(beside(-2, next3=one), ["tree_id", "full_no"], "left")
     )
-    placed_tokens = _in_context(placed, "text", "tree_id", "_lead", "_start").where(F.col("pos") >= F.col("_lead"))
-    return placed_tokens.withColumn("pos", F.col("pos") - F.col("_lead") + F.col("_start")).drop("_lead", "_start")
+    tokens = F.concat("tokens", F.array("next1", F.coalesce("next2", "next3")))
+    found = _around(around.select("tree_id", "first", "n", "before", tokens.alias("_tokens")), "tree_id", "first", "n", "before").where("pos < n")
+    before = F.when(F.col("pos") == 0, F.col("before")).otherwise(F.col("prev"))
+    return found.select("tree_id", (F.col("pos") + F.col("first")).alias("pos"), "token", before.alias("prev"), "next", "after")
 
 
 def newick_edges(trees: DataFrame, piece: int = PIECE) -> DataFrame:
     """``tree_id, parent, node, branch_length, label`` for ``trees(tree_id, newick)``."""
-    return edges(text_tokens(trees), piece)
+    return edges(text_tokens(trees, piece), piece)
 
 
 def newick_file_edges(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame:

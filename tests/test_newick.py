@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from cladeflow.sources.newick import NewickError, newick_edges, newick_file_edges
+from cladeflow.sources.newick import NewickError, edges, newick_edges, newick_file_edges, text_tokens
 
 LABELS = ["", "'it''s doubled'", "a_1", "'b|RED=1.000'", "0.98", "'0.9:g__X; s__X, y|RED=0.5'", "d.e-f"]
 
@@ -101,3 +101,27 @@ def test_one_file_with_one_tree(spark, tmp_path):
     (tmp_path / "two" / "c.tree").write_text("(x,y)z;(v,w)u;")
     with pytest.raises(NewickError):
         newick_file_edges(spark, str(tmp_path / "two" / "c.tree"))
+
+
+@pytest.mark.parametrize("long", [1, 7, 40, 4096])
+def test_any_cut_gives_the_same(spark, long):
+    """Quotes and brackets in comments, commas, brackets, doubled and lone quotes in labels, at whatever place a text is cut."""
+    texts = [
+        "('a, (b)':1[it's, (not) a label],o'brien:2,[x'']'it''s, [no] (c)':3)'root, ''r''':0.5;",
+        "((,)[a],('','(((' :2)')))':1)[',']z;",
+        "(((((a:1,b:1)'x,y':1,c)'q(''':2,d)e:3)f)g;",
+        *(text for _, text in trees(11, 12, 5)),
+    ]
+    frame = spark.createDataFrame([(at, text) for at, text in enumerate(texts)], "tree_id bigint, newick string")
+    listed = lambda tokens: sorted((r.tree_id, r.pos, r.token) for r in tokens.collect())
+    assert listed(text_tokens(frame, 4, long)) == listed(text_tokens(frame))
+    named = {(r.tree_id, r.label, r.branch_length) for r in edges(text_tokens(frame.where("tree_id < 3"), 4, long), 4).collect()}
+    assert {(0, "'a, (b)'", 1.0), (0, "o'brien", 2.0), (0, "'it''s, [no] (c)'", 3.0), (0, "'root, ''r'''", 0.5), (1, "')))'", 1.0), (1, "z", None), (2, "'q('''", 2.0)} <= named
+
+
+def test_quotes_and_commas_gather_nothing(spark, tmp_path):
+    """A lone quote within a label, and commas in comments, leave a file's stretches apart."""
+    text = "(" + ",".join(f"o'brien{k}[a, b's]:{k}" for k in range(300)) + ")root;"
+    (tmp_path / "one.tree").write_text(text)
+    rows = newick_file_edges(spark, str(tmp_path / "one.tree"), 16)
+    assert rows.where("parent = 301").count() == 301 and rows.where("label = \"o'brien299\" and branch_length = 299").count() == 1

@@ -126,7 +126,7 @@ def structure(spark, sf_dir):
         F.when(tip, F.concat(F.lit("g"), at("n"))).alias("genome"), F.when(tip, "other").alias("magset"),
         F.when(tip, 1.0).otherwise(0.5).alias("RED"), F.lit("Class (a]").alias("novelty_red"),
     )
-    return tree_issues(cut(nodes), ["tree"]).where(F.col("issue").isin(*_KINDS)).select("tree", "issue", "node", "genome")
+    return tree_issues(cut(nodes), ["tree"], one_root=True).where(F.col("issue").isin(*_KINDS)).select("tree", "issue", "node", "genome")
 
 
 # --- order and rounding ---------------------------------------------------------------------------------
