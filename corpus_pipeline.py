@@ -6,6 +6,12 @@ documents; the last adds the mixing rate and the number of copies to read. SQL c
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import gc
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,9 +53,27 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, labels)
 
 
+def _hand_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    name = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(name), "malloc_trim", None) if name else None
+    if trim:
+        trim(0)
+    yield from batches
+
+
+def tidy_workers(spark: SparkSession) -> None:
+    """Python workers are used again from stage to stage and keep what earlier ones have freed; a few short tasks for each core
+    reach most of them and hand it back to the system."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    spark.range(0, tasks, 1, tasks).mapInArrow(_hand_back, "id bigint").write.format("noop").mode("overwrite").save()
+
+
 def _stage(work):
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         bounded_batches(spark)
+        tidy_workers(spark)
         return work(spark, docs, sf_dir)
 
     stage.__doc__ = work.__doc__
