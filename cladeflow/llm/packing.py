@@ -236,12 +236,13 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
     for k in range(rounds):
         if k % 100 == 99:
             inverse = np.linalg.inv(base)
-        amount = np.maximum(inverse @ demand, 0)
+        # products by rows: libraries that start threads for such small ones only lose time
+        amount = np.maximum((inverse * demand).sum(axis=1), 0)
         prices = inverse.sum(axis=0)
         column = _knapsack(sizes, np.maximum(prices, 0), capacity)
         if column @ prices <= 1 + 1e-4:
             break
-        change = inverse @ column
+        change = (inverse * column).sum(axis=1)
         leaves = np.where(change > 1e-9, amount / np.where(change > 1e-9, change, 1), np.inf)
         out = int(leaves.argmin())
         base[:, out] = column
