@@ -28,7 +28,7 @@ from cladeflow.operators.keys import NodeKeys
 from cladeflow.operators.ordering import in_order, with_quality
 from cladeflow.operators.tree import child_counts, jump_until_done, with_parent
 from cladeflow.params import GENUS, NAMED_RANKS, SPECIES, DomainParams, as_domains, preset
-from cladeflow.session import cut
+from cladeflow.session import cut, tune
 
 RANK_COUNT = len(NAMED_RANKS)
 NAMES = [f"name_{rank}" for rank in range(RANK_COUNT)]
@@ -357,6 +357,7 @@ class Naming:
     domains: tuple[DomainParams, ...]
 
     def __post_init__(self) -> None:
+        tune(self.nodes.sparkSession)
         self.keys = NodeKeys(self.domains)
         tagged = self.keys.tagged(self.nodes)
         self._tree = tagged.select(

@@ -71,7 +71,9 @@ def _hop(rows: DataFrame, known: DataFrame, merge: Merge) -> DataFrame:
     """Rows that are not done go on to where the row they point to leads; they are done where there is no such row."""
     near, far = _named("near"), _named("far")
     stays = far("node").isNull()
-    return rows.alias("near").join(known.alias("far"), (near("jump") == far("node")) & ~near("done"), "left").select(
+    # Rows that are done point to few nodes, or to none: they are dealt by their own node, which keeps them apart.
+    to = F.when(near("done"), near("node")).otherwise(near("jump"))
+    return rows.alias("near").join(known.alias("far"), (to == far("node")) & ~near("done"), "left").select(
         near("node"),
         F.when(stays, near("jump")).otherwise(far("jump")).alias("jump"),
         F.coalesce(far("done"), F.lit(True)).alias("done"),
@@ -105,16 +107,23 @@ def _is_root() -> Column:
 
 
 def depths(nodes: DataFrame) -> DataFrame:
-    """Edges between each node and its root: ``node, depth``."""
-    state = nodes.select(
-        "node",
-        F.when(~_is_root(), F.col("parent")).alias("jump"),
-        _is_root().alias("done"),
-        F.when(_is_root(), 0).otherwise(1).cast("bigint").alias("depth"),
-    )
-    return jump_until_done(state, {"depth": lambda near, far: near("depth") + far("depth")}).select(
-        "node", "depth"
+    """Edges between each node and its root: ``node, depth``. Only nodes with children are followed, all others lie one edge
+    below one of these."""
+    pointers = nodes.select("node", F.when(~_is_root(), F.col("parent")).alias("jump"))
+    parents = pointers.where(F.col("jump").isNotNull()).select(F.col("jump").alias("_inner")).distinct()
+    inner = pointers.join(parents, pointers["node"] == parents["_inner"], "left_semi")
+    at_root = F.col("jump").isNull()
+    state = inner.select("node", "jump", at_root.alias("done"), F.when(at_root, 0).otherwise(1).cast("bigint").alias("depth"))
+    along = jump_until_done(state, {"depth": lambda near, far: near("depth") + far("depth")})
+    above = along.select(F.col("node").alias("_above"), F.col("depth").alias("_depth"))
+    # A root has nothing above it and is dealt by its node.
+    found = pointers.join(above, F.coalesce("jump", "node") == F.col("_above"), "left").select(
+        "node", F.when(at_root, 0).otherwise(F.coalesce("_depth", F.lit(0)) + 1).cast("bigint").alias("depth")
     )
+    written, count = cut_counting(found)
+    if count["rows"] != nodes.count():
+        _raise_open("nodes are listed more than once", written)
+    return written
 
 
 def nearest_marked(nodes: DataFrame, marked: str = "marked") -> DataFrame:

@@ -17,7 +17,7 @@ from cladeflow.functions.ranks import novelty_red
 from cladeflow.operators.naming import Naming
 from cladeflow.operators.tree import depths, paint_groups
 from cladeflow.params import DomainParams, preset
-from cladeflow.session import cut
+from cladeflow.session import cut, tune
 
 PARAMS = {"balanced": preset("d__Archaea"), "irregular": preset("d__Bacteria")}
 
@@ -89,24 +89,22 @@ def _red(tree: str, depth: Column, node: Column, deepest: int) -> Column:
 @lru_cache(maxsize=16)
 def base(spark: SparkSession, sf_dir: str, tree: str) -> DataFrame:
     """``node, parent, genome, reference, key, extra``."""
+    tune(spark)
     return cut(_with_tips((_balanced_base if tree == "balanced" else _irregular_base)(spark, sf_dir)))
 
 
 @lru_cache(maxsize=16)
 def nodes(spark: SparkSession, sf_dir: str, tree: str) -> DataFrame:
     """Annotated node table of a derived tree."""
-    located = cut(base(spark, sf_dir, tree).join(depths(base(spark, sf_dir, tree)), "node"))
+    located = depths(base(spark, sf_dir, tree))
     deepest = located.agg(F.max("depth")).first()[0]
     tip = F.col("genome").isNotNull()
     red = F.when(tip, 1.0).otherwise(_red(tree, F.col("depth"), F.col("node"), deepest))
-    annotated = located.select(
-        "parent",
-        "node",
-        "genome",
-        F.when(F.col("reference"), "GTDB").otherwise("other").alias("magset"),
-        red.alias("RED"),
-    )
-    return cut(paint_groups(annotated).withColumn("novelty_red", novelty_red(F.col("RED"), PARAMS[tree])))
+    marked = base(spark, sf_dir, tree).select("parent", "node", "genome", F.when(F.col("reference"), "GTDB").otherwise("other").alias("magset"))
+    # painted before the depths are joined, as painting reads its table several times
+    annotated = paint_groups(marked).join(located, "node").withColumn("RED", red)
+    columns = ("parent", "node", "genome", "magset", "RED", "nongtdb_group")
+    return cut(annotated.select(*columns, novelty_red(F.col("RED"), PARAMS[tree]).alias("novelty_red")))
 
 
 def metadata(spark: SparkSession, sf_dir: str, tree: str) -> DataFrame:
