@@ -174,27 +174,35 @@ def group_ancestors(labels: DataFrame, members: DataFrame) -> DataFrame:
     """The same for any number of groups: ``root, group, node`` for ``members(node, group)``.
 
     From each group's first member the path is climbed in halving steps, while the interval reached ends before the group's
-    last member: a join a step, of one row a group with one row a node.
+    last member: a join a step, of one row a group with one row a node. Only inner nodes lie above others, so all further
+    steps start at these.
     """
     there = members.select("node", "group").join(labels.select("node", "root", "first"), "node")
     ends = there.groupBy("root", "group").agg(F.min_by("node", "first").alias("at"), F.max("first").alias("most"))
     least = labels.select(F.col("node").alias("at"), F.col("last").alias("_last"))
     climbing = cut(ends.join(least, "at").withColumn("inside", F.col("_last") < F.col("most")).drop("_last"))
     # inside: the group goes beyond ``at``; groups of one node, or with a member above all others, have arrived
-    steps = [cut(labels.where(F.col("up").isNotNull()).select("node", "up"))]
+    parent = labels.select(F.col("node").alias("at"), "up")
+    reach = cut(labels.where(F.col("last") > F.col("first")).select("node", "up", "last"))
+    ends = reach.select(F.col("node").alias("_up"), F.col("last").alias("_last"))
+
+    def climbed(step: DataFrame) -> DataFrame:
+        # Groups that go up are found by inner joins, in which few groups need no shuffle of the nodes.
+        above = step.select(F.col("node").alias("at"), F.col("up").alias("_up"))
+        going = climbing.where("inside").join(above, "at").join(ends, "_up").where(F.col("_last") < F.col("most"))
+        going = going.select(F.col("root").alias("_root"), F.col("group").alias("_group"), "_up")
+        same = (F.col("root") == F.col("_root")) & F.col("group").eqNullSafe(F.col("_group"))
+        return climbing.join(going, same, "left").select("root", "group", F.coalesce("_up", "at").alias("at"), "most", "inside")
+
+    # The first members may be leaves: their parents are inner nodes, or above the common ancestor.
+    climbing = cut(climbed(labels.select("node", "up")))
+    steps = [reach.where(F.col("up").isNotNull()).select("node", "up")]
     while True:
         onward = steps[-1].select(F.col("node").alias("_via"), F.col("up").alias("_next"))
         longer, count = cut_counting(steps[-1].join(onward, F.col("up") == F.col("_via")).select("node", F.col("_next").alias("up")))
         if not count["rows"]:
             break
         steps.append(longer)
-    reach = labels.select(F.col("node").alias("_up"), F.col("last").alias("_last"))
     for step in reversed(steps):
-        above = step.select(F.col("node").alias("at"), F.col("up").alias("_up")).join(reach, "_up")
-        climbing = cut(
-            climbing.join(above, "at", "left").select(
-                "root", "group", F.when(F.col("inside") & (F.col("_last") < F.col("most")), F.col("_up")).otherwise(F.col("at")).alias("at"), "most", "inside"
-            )
-        )
-    parent = labels.select(F.col("node").alias("at"), "up")
+        climbing = cut(climbed(step))
     return climbing.join(parent, "at").select("root", "group", F.when(F.col("inside"), F.col("up")).otherwise(F.col("at")).alias("node"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cladeflow.operators import tree
+from cladeflow.operators import intervals, tree
 from cladeflow.session import NARROW, tune
 
 
@@ -48,3 +48,12 @@ def test_depths_follow_inner_nodes_only(spark, monkeypatch):
     found = {r.node: r.depth for r in tree.depths(star(spark)).collect()}
     assert seen == [2]
     assert found == {1: 0, 2: 1} | dict.fromkeys(range(3, 103), 2)
+
+
+def test_group_ancestors_double_pointers_of_inner_nodes_only(spark, monkeypatch):
+    labels, rows, counting = intervals.intervals(star(spark)), [], intervals.cut_counting
+    monkeypatch.setattr(intervals, "cut_counting", lambda frame, **more: rows.append(frame.count()) or counting(frame, **more))
+    members = spark.createDataFrame([(3, "a"), (90, "a"), (7, "b"), (1, None), (5, None)], "node bigint, group string")
+    found = {r.group: r.node for r in intervals.group_ancestors(labels, members).collect()}
+    assert found == {"a": 2, "b": 7, None: 1}
+    assert rows == [0]
