@@ -30,7 +30,7 @@ def red_rank(red: Column, edges: tuple[float, ...]) -> Column:
 
 def rank_word(novelty: Column) -> Column:
     """Rank word of a novelty label: ``Species/Strain (0.95-1]`` is ``species``."""
-    return F.lower(F.split_part(F.split_part(novelty, F.lit(" "), F.lit(1)), F.lit("/"), F.lit(1)))
+    return F.lower(F.substring_index(F.substring_index(novelty, " ", 1), "/", 1))
 
 
 def rank_index(word: Column) -> Column:

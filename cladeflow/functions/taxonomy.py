@@ -41,7 +41,7 @@ def anchor_node(taxonomy: Column) -> Column:
 
 def below_anchor(taxonomy: Column) -> Column:
     """Everything after the first semicolon, empty if there is none."""
-    return F.when(F.contains(taxonomy, F.lit(";")), F.regexp_replace(taxonomy, "^[^;]*;", "")).otherwise("")
+    return F.when(F.contains(taxonomy, F.lit(";")), F.substr(taxonomy, F.instr(taxonomy, ";") + 1)).otherwise("")
 
 
 def genus_of(taxonomy: Column) -> Column:

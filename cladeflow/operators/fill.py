@@ -17,7 +17,7 @@ from cladeflow.functions.taxonomy import anchor_node, below_anchor, genus_of, is
 from cladeflow.operators.keys import NodeKeys
 from cladeflow.operators.tree import farther, nearest_marked
 from cladeflow.params import RANK_LETTERS, SPECIES, DomainParams, as_domains, preset
-from cladeflow.session import cut, cut_counting
+from cladeflow.session import cut, cut_counting, tune
 
 COMPLETE_LINEAGE = "^d__[^;]*" + "".join(f";{letter}__[^;]*" for letter in RANK_LETTERS) + "$"
 
@@ -167,11 +167,13 @@ class Fill:
     mode: str = "least_common"
 
     def __post_init__(self) -> None:
+        tune(self.nodes.sparkSession)
         self.keys = NodeKeys(self.domains)
 
     @cached_property
     def _strings(self) -> DataFrame:
-        tagged = self.keys.tagged(self.genome_taxonomy)
+        # Written first: filters below would work the strings out anew for each thing that is read from them.
+        tagged = cut(self.keys.tagged(self.genome_taxonomy).select("domain", "genome", "taxonomy"))
         rest = below_anchor(F.col("taxonomy"))
         return tagged.select(
             "domain",

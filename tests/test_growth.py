@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from cladeflow import preset
+from cladeflow.functions.ranks import rank_word
+from cladeflow.functions.taxonomy import below_anchor
 from cladeflow.operators import intervals, tree
+from cladeflow.operators.fill import Fill
 from cladeflow.session import NARROW, tune
 
 
@@ -57,3 +61,19 @@ def test_group_ancestors_double_pointers_of_inner_nodes_only(spark, monkeypatch)
     found = {r.group: r.node for r in intervals.group_ancestors(labels, members).collect()}
     assert found == {"a": 2, "b": 7, None: 1}
     assert rows == [0]
+
+
+def test_strings_to_fill_are_worked_out_once(spark):
+    nodes = star(spark).withColumn("genome", F.when(F.col("node") > 2, F.concat(F.lit("g"), "node")))
+    strings = nodes.where("genome is not null").select("genome", F.concat_ws(";", F.lit("2"), F.concat(F.lit("g__"), "genome")).alias("taxonomy"))
+    names = spark.createDataFrame([], "node bigint, clade string, genome_rep string")
+    fill = Fill(nodes, strings, names, strings.limit(0), (preset("d__Bacteria"),))
+    assert "concat_ws" not in fill._strings._jdf.queryExecution().optimizedPlan().toString()
+    assert fill._strings.where("node = 2 and rank = 4 and rest = concat('g__', genome)").count() == 100
+
+
+def test_parts_of_labels_and_strings(spark):
+    rows = spark.createDataFrame([("Species/Strain (0.95-1]",), ("Phylum (0-0.3]",), ("Genus",), ("",), (None,)], "label string")
+    assert [r[0] for r in rows.select(rank_word(F.col("label"))).collect()] == ["species", "phylum", "genus", "", None]
+    rows = spark.createDataFrame([("12;g__A;s__B",), ("12",), (";x",), ("1\n2;x;",), ("é;y",), (None,)], "t string")
+    assert [r[0] for r in rows.select(below_anchor(F.col("t"))).collect()] == ["g__A;s__B", "", "x", "x;", "y", ""]
