@@ -35,7 +35,7 @@ def test_settings_for_narrow_tables_leave_those_of_the_session(spark):
 def test_rows_that_are_done_do_not_meet_in_one_task(spark):
     changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     before = {k: spark.conf.get(k, None) for k in changed}
-    rows = spark.range(1, 401).select(F.col("id").alias("node"), F.lit(None).cast("bigint").alias("jump"), F.lit(True).alias("done"))
+    rows = spark.createDataFrame([(n, 1, True) for n in range(1, 401)], "node bigint, jump bigint, done boolean")
     try:
         for k, value in changed.items():
             spark.conf.set(k, value)
