@@ -5,8 +5,10 @@ Nodes are numbered in preorder, children in order of their ids. A node and all b
 ancestor of any set of nodes is the last interval that holds the set's least and greatest number. No pair of a node and an
 ancestor is ever built.
 
-The numbers come from two loops of about log2(D) rounds over the inner nodes only: how many nodes lie below each (sums sent
-up along doubling pointers), and, with the sizes of the earlier siblings, how many come before it on its path.
+The numbers come from two passes over the inner nodes: how many nodes lie below each, and, with the sizes of the earlier
+siblings, how many come before it on its path. Going up, nodes whose children are all done are done themselves and stay in the
+table of their round, so on bushy trees each round has a fraction of the last one's rows; going down, these tables are taken in
+reverse. What is left where that no longer pays, such as long chains, is done in about log2(D) rounds along doubling pointers.
 """
 
 from __future__ import annotations
@@ -18,6 +20,9 @@ from cladeflow.operators.running import PIECE, running
 from cladeflow.operators.tree import _is_root, _raise_open, _rounds, jump_until_done
 from cladeflow.session import cut, cut_counting
 
+# Nodes are done round by round from the tips as long as so many are left, and a round leaves at most this share of them.
+FEW, SHRINKS = 100_000, 0.75
+
 
 def _rooted(nodes: DataFrame, values: list[str]) -> DataFrame:
     """``node, up`` and the values; ``up`` is the parent, null at roots and where the parent's row is missing."""
@@ -71,7 +76,7 @@ def _sums(rooted: DataFrame, values: list[str]) -> DataFrame:
 
 
 def _before_siblings(rows: DataFrame) -> DataFrame:
-    """``node, up, before``: sizes of the earlier siblings, summed. rows: ``node, up, size``.
+    """The rows ``node, up, size, …`` with ``first``: 1 and the sizes of the earlier siblings, 0 at roots.
 
     One sort of all children by parent and id cuts even a node with very many children into blocks; running sums are taken
     within a block, and over the few blocks of a parent.
@@ -81,30 +86,65 @@ def _before_siblings(rows: DataFrame) -> DataFrame:
     earlier = Window.partitionBy("up").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = sums.select("up", "_block", F.sum("_sum").over(earlier).alias("_earlier")).where(F.col("_earlier").isNotNull())
     within = Window.partitionBy("up", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce("_own", F.lit(0)) + F.coalesce("_earlier", F.lit(0)) + 1
     return (
-        ordered.withColumn("_own", F.coalesce(F.sum("size").over(within), F.lit(0)))
+        ordered.withColumn("_own", F.sum("size").over(within))
         .join(blocks, ["up", "_block"], "left")
-        .select("node", "up", (F.col("_own") + F.coalesce("_earlier", F.lit(0))).alias("before"))
+        .select(*rows.columns, F.when(F.col("up").isNull(), 0).otherwise(before).cast("bigint").alias("first"))
     )
 
 
-def intervals(nodes: DataFrame) -> DataFrame:
+def _layers(nodes: DataFrame, few: int) -> tuple[DataFrame, list[DataFrame], DataFrame, int]:
+    """Sizes of subtrees, tips first: all nodes without children, the inner nodes done in each round, and those left, as
+    ``node, up, size``, and the number of nodes. ``up`` is null at roots and where the parent's row is missing."""
+    pointers = nodes.select("node", F.when(~_is_root(), F.col("parent")).alias("up"))
+    children = pointers.where(F.col("up").isNotNull()).groupBy(F.col("up").alias("_node")).agg(F.count(F.lit(1)).alias("waiting"))
+    missing = F.col("node").isNull() & F.col("_node").isNotNull()
+    state = pointers.join(children, pointers["node"] == children["_node"], "full").select(F.coalesce("node", "_node").alias("node"), "up", "waiting", missing.alias("missing"))
+    state, count = cut_counting(state, missing=F.col("missing"), tips=F.col("waiting").isNull())
+    if count["missing"]:
+        gone = state.where("missing").select(F.col("node").alias("_gone"))
+        there = state.where("not missing")
+        up = F.when(F.col("_gone").isNull(), F.col("up")).alias("up")
+        state = cut(there.join(gone, there["up"] == gone["_gone"], "left").select("node", up, "waiting"))
+    total = count["rows"] - count["missing"]
+    state = state.select("node", "up", "waiting", F.lit(1).cast("bigint").alias("size"))
+    tips, left = state.where("waiting is null").drop("waiting"), state.where("waiting is not null")
+    rows, now, done, layers = total - count["tips"], total, tips, []
+    while rows > few and rows <= SHRINKS * now:
+        sent = done.where(F.col("up").isNotNull()).groupBy(F.col("up").alias("_to")).agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_size"))
+        step, count = cut_counting(
+            left.join(sent, left["node"] == sent["_to"], "left").select(
+                "node", "up", (F.col("waiting") - F.coalesce("_n", F.lit(0))).alias("waiting"), (F.col("size") + F.coalesce("_size", F.lit(0))).alias("size")
+            ),
+            done=F.col("waiting") == 0,
+        )
+        done, left = step.where("waiting = 0").drop("waiting"), step.where("waiting > 0")
+        layers.append(done)
+        now, rows = rows, rows - count["done"]
+    return tips, layers, _left(left.select("node", "up", "size"), done), total
+
+
+def _left(left: DataFrame, done: DataFrame) -> DataFrame:
+    """Whole sizes of the nodes left, given those done last, which no node left has counted yet."""
+    sent = done.where(F.col("up").isNotNull()).groupBy(F.col("up").alias("_to")).agg(F.sum("size").alias("_size"))
+    own = cut(left.join(sent, left["node"] == sent["_to"], "left").select("node", "up", (F.col("size") + F.coalesce("_size", F.lit(0))).alias("size")))
+    below = _sums(own, ["size"]).select(F.col("node").alias("_node"), F.col("size").alias("_below"))
+    return own.join(below, own["node"] == below["_node"], "left").select("node", "up", (F.col("size") + F.coalesce("_below", F.lit(0))).alias("size"))
+
+
+def intervals(nodes: DataFrame, few: int = FEW) -> DataFrame:
     """``node, up, root, depth, first, last`` for every node: first is its number in preorder within its tree, from 0, last the
     greatest number below it (its own if there is none), up its parent. A node whose parent has no row is a root; up is null
-    there."""
-    rooted = cut(_rooted(nodes.select("node", "parent"), []))
-    below = _sums(rooted.withColumn("size", F.lit(1).cast("bigint")), ["size"]).withColumnsRenamed({"size": "_below", "node": "_node"})
-    sized = cut(
-        rooted.join(below, rooted["node"] == below["_node"], "left").select(
-            "node", "up", F.col("_node").isNotNull().alias("inner"), (F.coalesce("_below", F.lit(0)) + 1).alias("size")
-        )
-    )
-    before = cut(_before_siblings(sized.where(F.col("up").isNotNull()).select("node", "up", "size")))
-    placed = sized.drop("up").join(before, "node", "left")
-    step = F.when(F.col("up").isNull(), 0).otherwise(F.col("before") + 1).cast("bigint")
-    placed = cut(placed.select("node", "up", "inner", "size", step.alias("first")))
+    there. Up to ``few`` nodes go along doubling pointers at once."""
+    tips, layers, left, total = _layers(nodes, few)
+    # the rows of a round are told apart by its number
+    sized = left.withColumn("layer", F.lit(len(layers) + 1))
+    for k, rows in enumerate([tips, *layers]):
+        sized = sized.unionByName(rows.withColumn("layer", F.lit(k)))
+    placed = cut(_before_siblings(sized))
     done = F.col("up").isNull()
-    state = placed.where("inner").select(
+    state = placed.where(F.col("layer") > len(layers)).select(
         "node", F.col("up").alias("jump"), done.alias("done"), "first",
         F.when(done, 0).otherwise(1).cast("bigint").alias("depth"), F.when(done, F.col("node")).alias("root"),
     )
@@ -115,19 +155,29 @@ def intervals(nodes: DataFrame) -> DataFrame:
             "depth": lambda near, far: near("depth") + far("depth"),
             "root": lambda near, far: far("root"),
         },
-    )
-    inner = along.select("node", "root", "depth", "first").join(placed.where("inner").select("node", "up", "size"), "node")
-    above = along.select(F.col("node").alias("up"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("first").alias("_first"))
-    leaves = placed.where("not inner").join(above, "up", "left").select(
+    ).select("node", "root", "depth", "first")
+    for k in range(len(layers), 0, -1):
+        own = placed.where(F.col("layer") == k)
+        along = along.unionByName(cut(_below(own, along).select("node", "root", "depth", "first")))
+    inner = along.join(placed.where("layer > 0").select("node", "up", "size"), "node")
+    every = inner.unionByName(_below(placed.where("layer = 0"), along))
+    written, count = cut_counting(every.select("node", "up", "root", "depth", "first", (F.col("first") + F.col("size") - 1).alias("last")))
+    if count["rows"] != total:
+        _raise_open("nodes are listed more than once", written)
+    return written
+
+
+def _below(rows: DataFrame, above: DataFrame) -> DataFrame:
+    """``node, root, depth, first, up, size`` of rows whose parents, if they have any, are among those above."""
+    above = above.select(F.col("node").alias("_up"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.col("first").alias("_first"))
+    return rows.join(above, rows["up"] == above["_up"], "left").select(
         "node",
-        "up",
         F.coalesce("_root", "node").alias("root"),
         F.coalesce(F.col("_depth") + 1, F.lit(0)).cast("bigint").alias("depth"),
         (F.col("first") + F.coalesce("_first", F.lit(0))).alias("first"),
+        "up",
         "size",
     )
-    every = inner.unionByName(leaves)
-    return cut(every.select("node", "up", "root", "depth", "first", (F.col("first") + F.col("size") - 1).alias("last")))
 
 
 def range_sums(labels: DataFrame, weights: DataFrame, wanted: DataFrame, values: list[str], piece: int = PIECE) -> DataFrame:

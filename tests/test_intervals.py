@@ -129,3 +129,36 @@ def test_a_long_chain(spark):
     chain = spark.range(1, 20_001).select(F.col("id").alias("node"), F.greatest(F.col("id") - 1, F.lit(1)).alias("parent"))
     wrong = intervals(chain).where("first <> node - 1 or last <> 19999 or depth <> node - 1 or root <> 1")
     assert wrong.count() == 0
+
+
+def test_intervals_by_rounds_from_the_tips_and_along_pointers_agree(spark):
+    """Bushy trees, a chain, several roots, a missing parent and a hub: the same numbers, however many rounds are taken."""
+    rng = random.Random(5)
+    parents = {1: 1} | {n: rng.randint(1, n - 1) for n in range(2, 200)} | {n: n - 1 for n in range(200, 230)}
+    parents |= {300: 300} | {n: 300 for n in range(301, 340)} | {400: 999, 401: 400, 402: 400, 403: 402}
+    nodes = tree(spark, parents)
+    plain = sorted(map(tuple, intervals(nodes).collect()))
+    assert len(plain) == len(parents)
+    for few in (0, 5, 60):
+        assert sorted(map(tuple, intervals(nodes, few=few).collect())) == plain
+    by_node = {r[0]: r for r in plain}
+    assert by_node[400][1:4] == (None, 400, 0) and by_node[403][1:4] == (402, 400, 2) and by_node[300][4:] == (0, 39)
+    with pytest.raises(TreeError):
+        intervals(nodes.unionByName(nodes.where("node = 402")), few=0)
+
+
+def test_intervals_rounds_shrink(spark, monkeypatch):
+    """Rounds write a fraction of the last one's rows, instead of all inner nodes again and again."""
+    from cladeflow.operators import intervals as module
+
+    rows, counting = [], module.cut_counting
+
+    def counted(frame, **counts):
+        written, count = counting(frame, **counts)
+        rows.append(count["rows"])
+        return written, count
+
+    monkeypatch.setattr(module, "cut_counting", counted)
+    n = 1 << 12
+    intervals(tree(spark, {k: max(k // 2, 1) for k in range(1, n)}), few=10)
+    assert sum(rows[1:-1]) < n + 100, rows

@@ -78,7 +78,8 @@ def t2_membership(spark, sf_dir):
     """Whether each node lies below its parent, and below two nodes picked by its number."""
     nodes = inputs.nodes(spark, sf_dir, TREE)
     picked = F.array_distinct(F.array(F.expr("node div 2"), F.expr("node % 1000"), "parent"))
-    pairs = nodes.select("node", F.explode(picked).alias("ancestor"))
+    # dealt by node before they become three rows, as is_below() joins by node first
+    pairs = nodes.select("node", "parent").repartition("node").select("node", F.explode(picked).alias("ancestor"))
     return is_below(pairs, labels(spark, sf_dir, TREE)).where(F.col("below").isNotNull())
 
 
