@@ -94,7 +94,11 @@ def _table(texts: list[np.ndarray], label: np.ndarray, classes: int) -> np.ndarr
     for at, c in zip(texts, label, strict=True):
         seen[at, c] += 1
     expected = seen.sum(axis=1, keepdims=True) * (np.bincount(label, minlength=classes) / max(len(label), 1))
-    return np.log((seen + SHRINK) / (expected + SHRINK)).astype(np.float32)
+    # in place: the tables are the largest arrays of the driver
+    seen += SHRINK
+    expected += SHRINK
+    seen /= expected
+    return np.log(seen, out=seen).astype(np.float32)
 
 
 def train(texts: list[bytes], label: np.ndarray, prior: np.ndarray, steps: int = 400) -> Model:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeflow.llm import contrast
-from cladeflow.llm.common import stream
+from cladeflow.llm.common import release, stream
 from cladeflow.session import cut
 
 # A reader's shares of tokens: what the labels call good, poor and toxic.
@@ -144,6 +144,7 @@ def mix(documents: DataFrame, labels: DataFrame, *, targets: dict[str, float] =
     """The documents, text included, with n_tokens, p_<domain>, rate and copies. Texts are read once to fit and once here."""
     domains = list(targets)
     model = fit_domains(documents, labels, label_domain() if domain is None else domain, domains, doc_id=doc_id, text=text)
+    release()  # the sample, before the many jobs of the rates
     members = cut(posterior(documents, model, text=text).select("_tokens", "_posterior"))
     gaps = fit_rates(members, np.array(list(targets.values())))
     return shown(posterior(documents, model, gaps, text=text), domains, doc_id=doc_id)

@@ -6,9 +6,6 @@ documents; the last adds the mixing rate and the number of copies to read. SQL c
 
 from __future__ import annotations
 
-import ctypes
-import ctypes.util
-import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cladeflow.llm import decontamination, mixing, quality_rules, simhash_dedup, substring_dedup
-from cladeflow.llm.common import bounded_batches
+from cladeflow.llm.common import bounded_batches, release
 from cladeflow.session import cut
 
 ORACLE_SQL: str | None = None
@@ -54,12 +51,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _hand_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    name = ctypes.util.find_library("c")
-    trim = getattr(ctypes.CDLL(name), "malloc_trim", None) if name else None
-    if trim:
-        trim(0)
+    release()
     yield from batches
 
 
@@ -70,9 +62,17 @@ def tidy_workers(spark: SparkSession) -> None:
     spark.range(0, tasks, 1, tasks).mapInArrow(_hand_back, "id bigint").write.format("noop").mode("overwrite").save()
 
 
+def tidy_driver(spark: SparkSession) -> None:
+    """The driver keeps samples, models and plans of earlier stages: Python's go first, as its frames and broadcasts hold those of
+    the JVM; Spark drops a broadcast or shuffle only when the JVM collects it."""
+    release()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _stage(work):
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         bounded_batches(spark)
+        tidy_driver(spark)
         tidy_workers(spark)
         return work(spark, docs, sf_dir)
 

@@ -57,3 +57,19 @@ def test_op10(spark, documents):
         n, known, total, base = plain[d]
         assert (found[d].held_out, found[d].n_tokens, found[d].n_known, found[d].train_tokens) == (held(d, 1), n, known, total)
         assert found[d].base_score == pytest.approx(base, rel=1e-9)
+
+
+def test_stages_release_what_the_driver_holds(spark, monkeypatch):
+    """Before each stage, and in mixing once its sample is fitted."""
+    import corpus_pipeline
+    from cladeflow.llm import mixing
+
+    calls = []
+    monkeypatch.setattr(corpus_pipeline, "release", lambda: calls.append("driver"))
+    monkeypatch.setattr(corpus_pipeline, "tidy_workers", lambda spark: calls.append("workers"))
+    corpus_pipeline._stage(lambda spark, docs, sf_dir: calls.append("work"))(spark, None, "")
+    assert calls == ["driver", "workers", "work"]
+    monkeypatch.setattr(mixing, "release", lambda: calls.append("mixing"))
+    docs = spark.createDataFrame([(k, f"word{k % 3} and {k}") for k in range(12)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2, int(k % 3 == 0)) for k in range(12)], "doc_id bigint, quality int, toxic int")
+    assert mixing.mix(docs, labels).count() == 12 and calls[-1] == "mixing"
