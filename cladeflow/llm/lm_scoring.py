@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from cladeflow.session import cut
 HEAD, ROUNDS, BITS, CLASSES, SINGLE = 200_000, 3, 14, 32, 15
 LONGEST = 64
 BUCKETS, FEATURES, BLOCK, SLICE, SUMS = 1 << BITS, 4, 1 << 17, 1 << 12, 1 << 10
+# Classes before a token, the start of a text included.
+STARTS = CLASSES + 1
 END = b""
 # Pseudo-counts that keep rare buckets near the prior.
 SMOOTH = 8.0
@@ -73,26 +76,28 @@ class Vocabulary:
     def class_of(self, word: bytes) -> int:
         return self.single[word] if word in self.single else shape(word)
 
+    @cached_property
+    def tokens(self) -> Tokens:
+        """Worked out once in each worker, as a broadcast stays there."""
+        return Tokens(self)
+
     def base(self, count):
         return np.log10((count + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
 
 
 class Tokens(dict):
-    """A word's class, its bucket as a feature and its place in the head plus 1 (0: not in it), packed."""
+    """A word's class, its bucket as a feature and its place in the head plus 1 (0: not in it), packed. Words of the head are
+    held ready; all others are rare, and worked out each time."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
-        self.place = {w: k + 1 for k, w in enumerate(vocabulary.head)}
-
-    def __missing__(self, word: bytes | None) -> int:
-        if word is None:  # before the start of a text
-            return CLASSES
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        packed = self.vocabulary.class_of(word) | (xxhash.xxh64_intdigest(word) & 0xFFFFFF) << 8 | self.place.get(word, 0) << 32
-        self[word] = packed
-        return packed
+        self.single = vocabulary.single
+        self.update((w, self[w] | k << 32) for k, w in enumerate(vocabulary.head, 1))
+        self[None] = CLASSES  # before the start of a text
+
+    def __missing__(self, word: bytes) -> int:
+        own = self.single.get(word)
+        return (shape(word) if own is None else own) | (xxhash.xxh64_intdigest(word) & 0xFFFFFF) << 8
 
     def blocks(self, texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
         """For blocks of whole texts: their tokens, these packed, the buckets of their contexts, and the texts' first tokens."""
@@ -108,7 +113,7 @@ class Tokens(dict):
             firsts.append(len(words) - 3 * len(firsts))
             words += (None, None, None, *tokens(text))
             if len(words) >= BLOCK or k == len(texts) - 1:
-                yield words, np.array([*map(self.__getitem__, words)], np.int64), firsts
+                yield words, np.fromiter(map(self.__getitem__, words), np.int64, len(words)), firsts
                 words, firsts = [], []
 
 
@@ -116,18 +121,36 @@ def features(packed: np.ndarray, real: np.ndarray) -> np.ndarray:
     """Buckets (FEATURES by tokens) of the contexts of the real tokens."""
     classes, words = (packed & 0xFF).astype(np.uint64), (packed >> 8 & 0xFFFFFF).astype(np.uint64)
     c1, c2, c3 = (classes[real - k] for k in (1, 2, 3))
-    keys = (words[real - 1], c1 * np.uint64(64) + c2, c2 * np.uint64(64) + c3, words[real - 2])
-    mixed = [(k + np.uint64(j << 32 | 1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS) for j, k in enumerate(keys)]
-    return np.stack(mixed).astype(np.uint16)
+    return np.stack([_bucket(0, words[real - 1]), _bucket(1, c1, c2), _bucket(2, c2, c3), _bucket(3, words[real - 2])])
+
+
+def _bucket(j: int, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
+    key = first if second is None else first * np.uint64(64) + second
+    return ((key + np.uint64(j << 32 | 1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.uint16)
+
 
+def contexts(packed: np.ndarray, real: np.ndarray) -> np.ndarray:
+    """The same contexts (3 by tokens) in which the three classes before, that two features come from, are one number."""
+    c1, c2, c3 = (packed[real - k] & 0xFF for k in (1, 2, 3))
+    words = (packed >> 8 & 0xFFFFFF).astype(np.uint64)
+    return np.stack([_bucket(0, words[real - 1]), _bucket(3, words[real - 2]), ((c1 * STARTS + c2) * STARTS + c3).astype(np.uint16)])
 
-def softmax(weights: np.ndarray, at: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """In slices that stay in the cache: exponentials by class, and their sums. The weights' last row is for all contexts."""
+
+def class_buckets() -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of both features that come from three classes, by the number of these."""
+    c1, c2, c3 = np.indices((STARTS,) * 3).reshape(3, -1).astype(np.uint64)
+    return _bucket(1, c1, c2), _bucket(2, c2, c3)
+
+
+def softmax(weights: np.ndarray, at: np.ndarray, *tables: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """In slices that stay in the cache: exponentials by class, and their sums. The weights' last row is for all contexts.
+    ``tables`` has what each row of ``at`` looks up, the weights by default."""
+    tables = tables or (weights,) * len(at)
     for k in range(0, at.shape[1], SLICE):
         part = slice(k, min(k + SLICE, at.shape[1]))
-        logits = np.take(weights, at[0, part], axis=0)
-        for j in range(1, FEATURES):
-            logits += np.take(weights, at[j, part], axis=0)
+        logits = np.take(tables[0], at[0, part], axis=0)
+        for table, own in zip(tables[1:], at[1:, part], strict=True):
+            logits += np.take(table, own, axis=0)
         logits += weights[-1]
         np.clip(logits, -60, 60, out=logits)
         np.exp(logits, out=logits)
@@ -138,7 +161,7 @@ def _packed(texts: DataFrame, vocabulary) -> DataFrame:
     """Blocks of whole texts as 4 bytes a token: class and bucket; CLASSES before the start of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Tokens(vocabulary.value)
+        known = vocabulary.value.tokens
         for batch in batches:
             for block in known.packed(raw(batch, "_text")):
                 yield pa.RecordBatch.from_arrays([pa.array([block[1].astype(np.uint32).tobytes()], pa.binary())], names=["tokens"])
@@ -151,26 +174,34 @@ def _sums(blocks: DataFrame, weights) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(BUCKETS * CLASSES, np.float64)
-        modelled = np.zeros((CLASSES, BUCKETS))
+        words, classes = np.zeros((CLASSES, BUCKETS)), np.zeros((CLASSES, STARTS**3))
+        if weights is not None:
+            near, far = class_buckets()
+            tables = weights.value, weights.value, weights.value[near] + weights.value[far]
         for batch in batches:
             for block in batch.column("tokens"):
                 packed = np.frombuffer(block.as_py(), np.uint32).astype(np.int64)
                 real = np.flatnonzero(packed != CLASSES)
-                at = features(packed, real)
                 if weights is None:
-                    classes = packed[real] & 0xFF
-                    for j in range(FEATURES):
-                        out += np.bincount(at[j].astype(np.int64) * CLASSES + classes, minlength=len(out))
+                    said = packed[real] & 0xFF
+                    for own in features(packed, real):
+                        out += np.bincount(own.astype(np.int64) * CLASSES + said, minlength=len(out))
                     continue
-                p = np.empty((CLASSES, at.shape[1]))
-                for part, raised, total in softmax(weights.value, at):
-                    np.divide(raised.T, total, out=p[:, part])
-                for j in range(FEATURES):
-                    own = at[j].astype(np.int64)
-                    for c in range(CLASSES):
-                        modelled[c] += np.bincount(own, p[c], BUCKETS)
+                at = contexts(packed, real)
+                p = np.empty((CLASSES, at.shape[1]), np.float32)
+                for part, raised, total in softmax(weights.value, at, *tables):
+                    raised /= total[:, None]
+                    p[:, part] = raised.T
+                own = at.astype(np.int64)
+                for c in range(CLASSES):
+                    chance = p[c].astype(np.float64)
+                    for j, sums in enumerate((words, words, classes)):
+                        sums[c] += np.bincount(own[j], chance, sums.shape[1])
         if weights is not None:
-            out = modelled.T.ravel()
+            # the sums by three classes belong to both features that come from these
+            for c in range(CLASSES):
+                words[c] += np.bincount(near, classes[c], BUCKETS) + np.bincount(far, classes[c], BUCKETS)
+            out = words.T.ravel()
         parts = out.reshape(-1, SUMS * CLASSES).astype(np.float32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "sums"]
@@ -255,7 +286,7 @@ def _score_texts(documents: DataFrame, fields, vocabulary: Vocabulary, weights:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights = shared.value
-        known = Tokens(vocabulary)
+        known = vocabulary.tokens
         head = np.concatenate([[0.0], vocabulary.base(np.array(list(vocabulary.head.values()), np.float64))])
         for batch in batches:
             sums: list[np.ndarray] = [np.empty((4, 0))]

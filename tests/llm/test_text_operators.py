@@ -174,3 +174,18 @@ def test_lm_probabilities_sum_to_one():
     chance = np.log10(raised[0] / total[0]) - np.where(mass > 0, vocabulary.prior, 0)
     known = sum(10 ** (float(vocabulary.base(n)) + chance[vocabulary.class_of(w)]) for w, n in words.items())
     assert known + 10 ** float(vocabulary.base(0)) == pytest.approx(1, abs=1e-5)
+
+
+def test_lm_contexts_by_three_classes_equal_the_four_features():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    packed = rng.integers(0, lm_scoring.CLASSES + 1, 5000) | rng.integers(0, 1 << 24, 5000) << 8
+    real = np.arange(3, 5000)
+    weights = rng.normal(0, 1, (lm_scoring.BUCKETS + 1, lm_scoring.CLASSES)).astype(np.float32)
+    near, far = lm_scoring.class_buckets()
+    four, three = lm_scoring.features(packed, real), lm_scoring.contexts(packed, real)
+    assert (four == [three[0], near[three[2]], far[three[2]], three[1]]).all()
+    plain = lm_scoring.softmax(weights, four)
+    for (part, raised, total), (_, raised3, total3) in zip(plain, lm_scoring.softmax(weights, three, weights, weights, weights[near] + weights[far]), strict=True):
+        assert np.allclose(raised, raised3, rtol=1e-4) and np.allclose(total, total3, rtol=1e-4)
