@@ -99,11 +99,11 @@ class Tokens(dict):
         own = self.single.get(word)
         return (shape(word) if own is None else own) | (xxhash.xxh64_intdigest(word) & 0xFFFFFF) << 8
 
-    def blocks(self, texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+    def blocks(self, texts: list[bytes], described=None) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
         """For blocks of whole texts: their tokens, these packed, the buckets of their contexts, and the texts' first tokens."""
         for words, packed, firsts in self.packed(texts):
             real = np.flatnonzero(packed != CLASSES)
-            yield [w for w in words if w is not None], packed[real], features(packed, real), np.array(firsts)
+            yield [w for w in words if w is not None], packed[real], (described or features)(packed, real), np.array(firsts)
 
     def packed(self, texts: list[bytes]) -> Iterator[tuple[list[bytes | None], np.ndarray, list[int]]]:
         """Blocks of whole texts, three tokens before the start with each: the tokens, these packed, and the texts' first tokens."""
@@ -142,16 +142,24 @@ def class_buckets() -> tuple[np.ndarray, np.ndarray]:
     return _bucket(1, c1, c2), _bucket(2, c2, c3)
 
 
-def softmax(weights: np.ndarray, at: np.ndarray, *tables: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """In slices that stay in the cache: exponentials by class, and their sums. The weights' last row is for all contexts.
-    ``tables`` has what each row of ``at`` looks up, the weights by default."""
-    tables = tables or (weights,) * len(at)
+def tables(weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What each row of contexts() looks up; three classes bring along the weights' last row, which is for all contexts."""
+    near, far = class_buckets()
+    return weights, weights, weights[near] + weights[far] + weights[-1]
+
+
+def softmax(weights: np.ndarray, at: np.ndarray, *looked_up: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """In slices that stay in the cache: exponentials by class, and their sums. Each row of ``at`` looks up one of
+    the tables(), or without them the weights."""
+    plain = () if looked_up else (weights[-1],)
+    looked_up = looked_up or (weights,) * len(at)
     for k in range(0, at.shape[1], SLICE):
         part = slice(k, min(k + SLICE, at.shape[1]))
-        logits = np.take(tables[0], at[0, part], axis=0)
-        for table, own in zip(tables[1:], at[1:, part], strict=True):
+        logits = np.take(looked_up[0], at[0, part], axis=0)
+        for table, own in zip(looked_up[1:], at[1:, part], strict=True):
             logits += np.take(table, own, axis=0)
-        logits += weights[-1]
+        for row in plain:
+            logits += row
         np.clip(logits, -60, 60, out=logits)
         np.exp(logits, out=logits)
         yield part, logits, logits.sum(axis=1)
@@ -177,7 +185,7 @@ def _sums(blocks: DataFrame, weights) -> np.ndarray:
         words, classes = np.zeros((CLASSES, BUCKETS)), np.zeros((CLASSES, STARTS**3))
         if weights is not None:
             near, far = class_buckets()
-            tables = weights.value, weights.value, weights.value[near] + weights.value[far]
+            looked_up = tables(weights.value)
         for batch in batches:
             for block in batch.column("tokens"):
                 packed = np.frombuffer(block.as_py(), np.uint32).astype(np.int64)
@@ -189,7 +197,7 @@ def _sums(blocks: DataFrame, weights) -> np.ndarray:
                     continue
                 at = contexts(packed, real)
                 p = np.empty((CLASSES, at.shape[1]), np.float32)
-                for part, raised, total in softmax(weights.value, at, *tables):
+                for part, raised, total in softmax(weights.value, at, *looked_up):
                     raised /= total[:, None]
                     p[:, part] = raised.T
                 own = at.astype(np.int64)
@@ -286,15 +294,15 @@ def _score_texts(documents: DataFrame, fields, vocabulary: Vocabulary, weights:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights = shared.value
-        known = vocabulary.tokens
+        known, looked_up = vocabulary.tokens, tables(weights)
         head = np.concatenate([[0.0], vocabulary.base(np.array(list(vocabulary.head.values()), np.float64))])
         for batch in batches:
             sums: list[np.ndarray] = [np.empty((4, 0))]
             sizes, words, times, terms = [0], [], [], []
-            for said, packed, at, firsts in known.blocks(raw(batch, "_text")):
+            for said, packed, at, firsts in known.blocks(raw(batch, "_text"), contexts):
                 classes, place = packed & 0xFF, packed >> 32
                 term = np.empty(len(said))
-                for part, raised, total in softmax(weights, at):
+                for part, raised, total in softmax(weights, at, *looked_up):
                     term[part] = np.log10(raised[np.arange(len(total)), classes[part]] / total)
                 term -= vocabulary.prior[classes]
                 base = head[place]

@@ -187,5 +187,5 @@ def test_lm_contexts_by_three_classes_equal_the_four_features():
     four, three = lm_scoring.features(packed, real), lm_scoring.contexts(packed, real)
     assert (four == [three[0], near[three[2]], far[three[2]], three[1]]).all()
     plain = lm_scoring.softmax(weights, four)
-    for (part, raised, total), (_, raised3, total3) in zip(plain, lm_scoring.softmax(weights, three, weights, weights, weights[near] + weights[far]), strict=True):
+    for (part, raised, total), (_, raised3, total3) in zip(plain, lm_scoring.softmax(weights, three, *lm_scoring.tables(weights)), strict=True):
         assert np.allclose(raised, raised3, rtol=1e-4) and np.allclose(total, total3, rtol=1e-4)
