@@ -25,7 +25,6 @@ import warnings
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,11 +69,15 @@ def posterior(documents: DataFrame, model: contrast.Model, gaps: list[np.ndarray
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = contrast.Contrasts(shared.value.table)
         for texts in batches:
-            found = [(len(t.split()), contrast.posterior(shared.value, known, t)) for t in stream(texts)]
-            p = np.array([p for _, p in found]).reshape(len(found), shared.value.classes)
+            tokens, described = [], np.empty((len(texts), len(shared.value.centre)))
+            for i, t in enumerate(stream(texts)):
+                words = t.split()
+                tokens.append(len(words))
+                described[i] = contrast.describe(known, t, words)
+            p = contrast.posteriors(shared.value, described)
+            lists = pa.ListArray.from_arrays(np.arange(len(p) + 1, dtype=np.int32) * p.shape[1], p.ravel())
             yield pa.StructArray.from_arrays(
-                [pa.array([n for n, _ in found], pa.int64()), pa.array(list(p), pa.list_(pa.float64())), pa.array(rates(p, gaps or [], most, ridge)[0])],
-                names=["tokens", "p", "rate"],
+                [pa.array(tokens, pa.int64()), lists, pa.array(rates(p, gaps or [], most, ridge)[0])], names=["tokens", "p", "rate"]
             )
 
     return documents.withColumn("_r", read(F.col(text))).select(
@@ -86,7 +89,7 @@ def fit_rates(members: DataFrame, target: np.ndarray, *, most: float = MOST, rid
     """Gaps of all steps. members: _tokens and _posterior. target: shares of all tokens, by domain."""
     rows, gaps, scale = members.select("_tokens", "_posterior"), [], None
     for _ in range(steps):
-        expected, total = _expected(rows, gaps, most, ridge)
+        expected, total = _expected(rows, gaps, len(target), most, ridge)
         if not total:
             return gaps
         now = expected[0] / total - target
@@ -94,34 +97,40 @@ def fit_rates(members: DataFrame, target: np.ndarray, *, most: float = MOST, rid
         if np.abs(now).max() <= gap and gaps and np.abs(scale).max() <= gap:
             return gaps
         gaps, scale = [*gaps, expected[1] / total - target], now
-    expected, total = _expected(rows, gaps, most, ridge)
+    expected, total = _expected(rows, gaps, len(target), most, ridge)
     if total and np.abs(missed := expected[0] / total - target).max() > gap:
         warnings.warn(f"shares of tokens miss the targets {target.tolist()} by {missed.round(4).tolist()} after {steps} steps", stacklevel=2)
     return gaps
 
 
-def _expected(rows: DataFrame, gaps: list[np.ndarray], most: float, ridge: float) -> tuple[np.ndarray, float]:
+def _rows(posteriors: pa.Array, domains: int) -> np.ndarray:
+    return posteriors.flatten().to_numpy(zero_copy_only=False).reshape(-1, domains)
+
+
+def _expected(rows: DataFrame, gaps: list[np.ndarray], domains: int, most: float, ridge: float) -> tuple[np.ndarray, float]:
     """Expected tokens by domain at the rates and at the next point, and all tokens."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                p, tokens = np.stack(pdf["_posterior"].to_numpy()), pdf["_tokens"].to_numpy()
-                sums = [(tokens * r) @ p for r in rates(p, gaps, most, ridge)]
-                yield pd.DataFrame({"k": range(p.shape[1]), "now": sums[0], "next": sums[1], "tokens": float(tokens.sum())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, total = np.zeros((2, domains)), 0.0
+        for batch in batches:
+            p, tokens = _rows(batch.column("_posterior"), domains), batch.column("_tokens").to_numpy(zero_copy_only=False)
+            sums += [np.einsum("i,ij->j", tokens * r, p) for r in rates(p, gaps, most, ridge)]
+            total += float(tokens.sum())
+        yield pa.RecordBatch.from_pydict({"k": pa.array(range(domains), pa.int32()), "now": sums[0], "next": sums[1], "tokens": [total] * domains})
 
-    sums = rows.mapInPandas(run, "k int, now double, next double, tokens double").groupBy("k").agg(
+    found = rows.mapInArrow(run, "k int, now double, next double, tokens double").groupBy("k").agg(
         *[F.sum(c).alias(c) for c in ("now", "next", "tokens")]
-    ).orderBy("k").collect()
+    ).collect()
+    sums = sorted(found, key=lambda r: r["k"])
     return np.array([[r["now"] for r in sums], [r["next"] for r in sums]]), sums[0]["tokens"] if sums else 0.0
 
 
 def with_rates(members: DataFrame, gaps: list[np.ndarray], *, most: float = MOST, ridge: float = RIDGE) -> DataFrame:
     """Rows of posterior() with the rates that follow from the gaps."""
 
-    @F.pandas_udf("double")
-    def rate(p: pd.Series) -> pd.Series:
-        return pd.Series(rates(np.stack(p.to_numpy()), gaps, most, ridge)[0] if len(p) else [], dtype="float64")
+    @F.arrow_udf("double")
+    def rate(p: pa.Array) -> pa.Array:
+        return pa.array(rates(_rows(p, len(gaps[0])) if gaps else np.zeros((len(p), 0)), gaps, most, ridge)[0], pa.float64())
 
     return members.withColumn("_rate", rate("_posterior"))
 

@@ -4,12 +4,13 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from brute import contamination, held, quality_counts, repeated
 from pyspark.sql import functions as F
 from test_simhash_dedup import plain_groups
 
 import corpus_pipeline
-from cladeflow.llm import html_extraction, mixing, quality_classifier, queries, token_counts, toxicity
+from cladeflow.llm import contrast, html_extraction, mixing, quality_classifier, queries, token_counts, toxicity
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -130,6 +131,34 @@ def test_targets_out_of_reach_are_reported(spark):
         mixing.fit_rates(members, np.array([0.1, 0.9]), steps=3)
 
 
+def test_a_pass_of_the_rates_is_one_sum(spark):
+    """No sort, and no more jobs than the sum's two stages; rows of any batch size give the same gaps."""
+    rng = np.random.default_rng(9)
+    p, tokens = rng.dirichlet([0.5, 0.5, 0.5], 400), rng.integers(1, 50, 400)
+    members = spark.createDataFrame([(int(n), q.tolist()) for n, q in zip(tokens, p, strict=True)], "_tokens bigint, _posterior array<double>")
+    target, plain = np.array([0.5, 0.3, 0.2]), []
+    for _ in range(3):
+        plain.append((tokens * mixing.rates(p, plain)[1]) @ p / tokens.sum() - target)
+    sc = spark.sparkContext
+    sc.setJobGroup("rates", "rates")
+    try:
+        with pytest.warns(UserWarning, match="miss the targets"):
+            gaps = mixing.fit_rates(members, target, steps=3, gap=0.0)
+    finally:
+        sc._jsc.clearJobGroup()
+    assert np.allclose(gaps, plain, atol=1e-12)
+    assert len(sc.statusTracker().getJobIdsForGroup("rates")) <= 2 * 4
+
+
+def test_words_are_hashed_together_as_one_by_one():
+    words = [b"Haanth.", b"'", b"!!", "\u00e9treeAU".encode(), b"\xff\xc3", b"12ab\x1cCD", b"a"]
+    def plain(w):
+        bare, kinds = w.lower().strip(contrast._OUTER), w.translate(contrast._KIND)
+        return [xxhash.xxh64_intdigest(x) % contrast.BUCKETS for x in (bare, b"^" + bare[:5], b"#" + kinds[:2] + kinds[-4:])]
+
+    assert contrast.buckets(words).tolist() == [plain(w) for w in words] and contrast.buckets([]).shape == (0, 3)
+
+
 def test_mixing_stage_keeps_all_documents(spark, tables, tmp_path):
     docs, labels = tables
     labels.write.parquet(str(tmp_path / "labels.parquet"))
