@@ -24,6 +24,8 @@ TOKEN = rf"({COMPLETE}|'[^']*(?:''[^']*)*$|\[[^\]]*$)"
 CLOSING = r"^([^']*(?:''[^']*)*'(?!'))"
 # Characters after which a chunk ends before the next bracket.
 LONG = 4096
+# Characters of short texts that one task takes apart; a row of a sort takes some tens of times its token.
+TASK = 4 << 20
 
 
 class NewickError(ValueError):
@@ -49,17 +51,12 @@ def _in_context(texts: DataFrame, text: str, *columns: str) -> DataFrame:
 
 
 def _around(listed: DataFrame, *columns: str) -> DataFrame:
-    around = F.transform(
-        "_tokens",
-        lambda token, at: F.struct(
-            at.cast("bigint").alias("pos"),
-            token.alias("token"),
-            F.get("_tokens", at - 1).alias("prev"),
-            F.get("_tokens", at + 1).alias("next"),
-            F.get("_tokens", at + 2).alias("after"),
-        ),
+    # The neighbours are looked up behind the explode, in generated code, not built as structs within the array.
+    exploded = listed.select(*columns, "_tokens", F.posexplode("_tokens").alias("pos", "token"))
+    beside = {"prev": -1, "next": 1, "after": 2}
+    return exploded.select(
+        *columns, F.col("pos").cast("bigint").alias("pos"), "token", *[F.get("_tokens", F.col("pos") + step).alias(name) for name, step in beside.items()]
     )
-    return listed.select(*columns, F.explode(around).alias("_token")).select(*columns, "_token.*")
 
 
 def text_tokens(trees: DataFrame, piece: int = PIECE, long: int = LONG) -> DataFrame:
@@ -69,9 +66,13 @@ def text_tokens(trees: DataFrame, piece: int = PIECE, long: int = LONG) -> DataF
     short = _in_context(trees.where(~too_long), "newick", "tree_id")
     if trees.where(too_long).isEmpty():
         return short
+    return short.unionByName(_long_tokens(trees.where(too_long), piece, long))
+
+
+def _long_tokens(trees: DataFrame, piece: int, long: int) -> DataFrame:
     parts = F.posexplode(_chunks(F.col("newick"), long)).alias("at", "text")
-    chunks = trees.where(too_long).select("tree_id", parts).withColumn("at", F.col("at").cast("bigint"))
-    return short.unionByName(chunk_tokens(cut(chunks.repartition("tree_id", "at")), piece))
+    chunks = trees.select("tree_id", parts).withColumn("at", F.col("at").cast("bigint"))
+    return chunk_tokens(cut(chunks.repartition("tree_id", "at")), piece)
 
 
 def file_tokens(spark: SparkSession, path: str, piece: int = PIECE, long: int = LONG) -> DataFrame:
@@ -206,9 +207,71 @@ def chunk_tokens(chunks: DataFrame, piece: int = PIECE) -> DataFrame:
     return found.select("tree_id", (F.col("pos") + F.col("first")).alias("pos"), "token", before.alias("prev"), "next", "after")
 
 
-def newick_edges(trees: DataFrame, piece: int = PIECE) -> DataFrame:
-    """``tree_id, parent, node, branch_length, label`` for ``trees(tree_id, newick)``."""
-    return edges(text_tokens(trees, piece), piece)
+def newick_edges(trees: DataFrame, piece: int = PIECE, long: int = LONG) -> DataFrame:
+    """``tree_id, parent, node, branch_length, label`` for ``trees(tree_id, newick)``. Texts of up to ``long`` characters are
+    dealt whole, and what is in one stays in its task; the others are spread over tasks."""
+    if long >= piece:
+        return edges(text_tokens(trees, piece, long), piece)
+    size = F.length("newick")
+    held = trees.agg(F.sum(F.when(size <= long, size)).alias("short"), F.count_if(size > long).alias("long")).first()
+    tasks = max(trees.sparkSession.sparkContext.defaultParallelism, (held["short"] or 0) // TASK + 1)
+    found = _short_edges(trees.where((size <= long) & F.col("tree_id").isNotNull()).select("tree_id", "newick").repartition(tasks, "tree_id"))
+    return found.unionByName(edges(_long_tokens(trees.where(size > long), piece, long), piece)) if held["long"] else found
+
+
+def _short_edges(trees: DataFrame) -> DataFrame:
+    """``edges`` of texts that are dealt by tree: windows and all rows of a tree stay where its text is."""
+    marked = _marked(_in_context(trees, "newick", "tree_id"))
+    closed = F.coalesce(F.col("bracket") == "close", F.lit(False))
+    # A leaf at a closing bracket has neither label nor length.
+    marked = marked.select(
+        "tree_id", "pos", "bracket", "leaf", "depth", "tip_no", "open_no",
+        F.when(closed, F.col("end_label")).otherwise(F.col("label")).alias("label"),
+        F.when(closed, F.col("end_length")).otherwise(F.col("branch_length")).alias("branch_length"),
+    )
+    tree = Window.partitionBy("tree_id")
+    so_far = tree.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    kept = ("tree_id", "pos", "bracket", "leaf", "label", "branch_length")
+    counted = marked.select(*kept, *[F.sum(c).over(so_far).alias(c) for c in ("depth", "tip_no", "open_no")], F.sum("tip_no").over(tree).alias("tips"))
+
+    # Along a level a child's parent is the last bracket opened one level above it, and what closes a child comes next after it.
+    # A bracket that opens stands on its own level and, as a child, on the one above; a leaf may stand at a closing bracket.
+    opened = F.coalesce(F.col("bracket") == "open", F.lit(False))
+    both = opened | (F.col("leaf") & closed)
+    events = counted.select("*", F.explode(F.when(both, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("_side"))
+    side, depth = F.col("_side"), F.col("depth")
+    role = F.when(opened, F.when(side == 0, "open").otherwise("child")).when(closed & (~F.col("leaf") | (side == 1)), "close").otherwise("leaf")
+    events = events.withColumn("role", role).select(
+        "tree_id",
+        "pos",
+        "tips",
+        "role",
+        F.when(F.col("role") == "child", depth - 1).when(closed & (F.col("role") == "leaf"), depth + 1).otherwise(depth).alias("level"),
+        F.when(F.col("role") == "open", F.col("open_no")).alias("around"),
+        F.when(F.col("role") == "child", F.col("tips") + F.col("open_no")).when(F.col("role") == "leaf", F.col("tip_no")).alias("node"),
+        *[F.when((F.col("role") == "close") | ((F.col("role") == "leaf") & ~closed), F.col(c)).alias(c) for c in ("label", "branch_length")],
+    )
+    level = Window.partitionBy("tree_id", "level").orderBy("pos")
+    shut = F.lead("role").over(level) == "close"
+    located = events.select(
+        "tree_id",
+        "tips",
+        "level",
+        "role",
+        F.max("around").over(level.rowsBetween(Window.unboundedPreceding, 0)).alias("around"),
+        "node",
+        F.lag("role").over(level).isNull().alias("first"),
+        *[F.when(F.col("role") != "child", F.col(c)).when(shut, F.lead(c).over(level)).alias(c) for c in ("branch_length", "label")],
+    )
+    # The first bracket that closes nothing leaves a row without node.
+    shown = F.col("role").isin("child", "leaf") | ((F.col("role") == "close") & F.col("first") & (F.col("level") == -1))
+    return located.where(shown).select(
+        "tree_id",
+        F.coalesce(F.col("tips") + F.col("around"), "node").cast("bigint").alias("parent"),
+        F.col("node").cast("bigint").alias("node"),
+        "branch_length",
+        "label",
+    )
 
 
 def newick_file_edges(spark: SparkSession, path: str, piece: int = PIECE) -> DataFrame:
@@ -219,12 +282,8 @@ def newick_file_edges(spark: SparkSession, path: str, piece: int = PIECE) -> Dat
     return found
 
 
-def edges(tokens: DataFrame, piece: int = PIECE) -> DataFrame:
-    """Node table from tokens.
-
-    Tips are numbered 1..N in order of appearance, internal nodes from N+1 in pre-order; the root N+1
-    is its own parent. Quotes stay part of a label.
-    """
+def _marked(tokens: DataFrame) -> DataFrame:
+    """Brackets and leaves with what they say. Commas, labels and lengths are not counted themselves."""
     token = F.col("token")
     opens = token == "("
     closes = token == ")"
@@ -244,8 +303,17 @@ def edges(tokens: DataFrame, piece: int = PIECE) -> DataFrame:
         leaf.cast("int").alias("tip_no"),
         opens.cast("int").alias("open_no"),
     )
-    # Commas, labels and lengths are not counted themselves. Texts are taken apart once only.
-    marked, count = cut_counting(marked.where("leaf or bracket is not null"), long=F.col("pos") >= piece)
+    return marked.where("leaf or bracket is not null")
+
+
+def edges(tokens: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Node table from tokens.
+
+    Tips are numbered 1..N in order of appearance, internal nodes from N+1 in pre-order; the root N+1
+    is its own parent. Quotes stay part of a label.
+    """
+    # Texts are taken apart once only.
+    marked, count = cut_counting(_marked(tokens), long=F.col("pos") >= piece)
     short = not count["long"]
     counted = running(marked, ["tree_id"], "pos", ["depth", "tip_no", "open_no"], piece=piece, short=short)
 

@@ -125,3 +125,14 @@ def test_quotes_and_commas_gather_nothing(spark, tmp_path):
     (tmp_path / "one.tree").write_text(text)
     rows = newick_file_edges(spark, str(tmp_path / "one.tree"), 16)
     assert rows.where("parent = 301").count() == 301 and rows.where("label = \"o'brien299\" and branch_length = 299").count() == 1
+
+
+def test_short_texts_stay_in_their_task(spark):
+    """One shuffle deals the texts; tokens, events and nodes are not dealt or summed again. Brackets may be left open."""
+    texts = ["((a:1,b:2)c:3,d)e;", "(a,(b,'x)'", "a,b;", "(,);", "(a,b));", "a)(b,c)d;", ";", "", *(text for _, text in trees(13, 20, 4))]
+    frame = spark.createDataFrame([(at, text) for at, text in enumerate(texts)], "tree_id bigint, newick string")
+    found = newick_edges(frame)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Aggregate" not in plan and "Join" not in plan
+    listed = lambda rows: sorted((repr(tuple(r)) for r in rows.select("tree_id", "parent", "node", "branch_length", "label").collect()))
+    assert listed(found) == listed(edges(text_tokens(frame)))

@@ -367,21 +367,23 @@ def newick_texts(spark, sf_dir):
         F.lit(":"),
         F.col("l_quantity").cast("int").cast("string"),
     )
-    in_order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    listed = F.sort_array(F.collect_list(F.struct(*in_order, tip.alias("tip"))))
-    flags = lines.groupBy("l_orderkey", "l_returnflag").agg(
-        F.array_join(F.transform(listed, lambda line: line["tip"]), ",").alias("tips")
-    )
-    clade = F.concat(F.lit("("), F.col("tips"), F.lit(")'0.5:"), F.col("l_returnflag"), F.lit("|RED=0.500':1"))
-    grouped = F.sort_array(F.collect_list(F.struct("l_returnflag", clade.alias("clade"))))
+    in_order = ["l_returnflag", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+    orders = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(*in_order, tip.alias("tip")))).alias("lines"))
+    flags = F.array_distinct(F.transform("lines", lambda line: line["l_returnflag"]))
+
+    def clade(flag):
+        own = F.filter("lines", lambda line: line["l_returnflag"].eqNullSafe(flag))
+        tips = F.array_join(F.transform(own, lambda line: line["tip"]), ",")
+        return F.concat(F.lit("("), tips, F.lit(")'0.5:"), flag, F.lit("|RED=0.500':1"))
+
     text = F.concat(
         F.lit("("),
-        F.array_join(F.transform(grouped, lambda part: part["clade"]), ","),
+        F.array_join(F.transform(flags, clade), ","),
         F.lit(")order"),
         F.col("l_orderkey").cast("string"),
         F.lit(";"),
     )
-    return cut(flags.groupBy(F.col("l_orderkey").alias("tree_id")).agg(text.alias("newick")))
+    return cut(orders.select(F.col("l_orderkey").alias("tree_id"), text.alias("newick")))
 
 
 @query(
