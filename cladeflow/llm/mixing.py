@@ -7,8 +7,8 @@ is to be read (0 to ``most``). Rates minimise, over all documents,
 
 by accelerated projected gradients. A step changes a rate by a function of the document's posterior and of the domains'
 current gaps alone. So no rates are stored: each pass works them out from the few gaps so far, adds up the expected
-tokens by domain in its tasks, and sends one row per task. The work grows with the documents, what meets on the driver
-with the number of domains only.
+tokens by domain in its tasks, and sends one row per task, of as many numbers as there are domains, twice. The work grows with
+the documents.
 
 Targets that are not met within the steps, such as shares beyond reach of ``most``, are reported by a warning.
 
@@ -108,7 +108,8 @@ def _rows(posteriors: pa.Array, domains: int) -> np.ndarray:
 
 
 def _expected(rows: DataFrame, gaps: list[np.ndarray], domains: int, most: float, ridge: float) -> tuple[np.ndarray, float]:
-    """Expected tokens by domain at the rates and at the next point, and all tokens."""
+    """Expected tokens by domain at the rates and at the next point, and all tokens. One stage without shuffle: of the many passes,
+    plans and events are what fills the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, total = np.zeros((2, domains)), 0.0
@@ -116,13 +117,10 @@ def _expected(rows: DataFrame, gaps: list[np.ndarray], domains: int, most: float
             p, tokens = _rows(batch.column("_posterior"), domains), batch.column("_tokens").to_numpy(zero_copy_only=False)
             sums += [np.einsum("i,ij->j", tokens * r, p) for r in rates(p, gaps, most, ridge)]
             total += float(tokens.sum())
-        yield pa.RecordBatch.from_pydict({"k": pa.array(range(domains), pa.int32()), "now": sums[0], "next": sums[1], "tokens": [total] * domains})
+        yield pa.RecordBatch.from_pydict({"sums": [sums.ravel().tolist()], "tokens": [total]})
 
-    found = rows.mapInArrow(run, "k int, now double, next double, tokens double").groupBy("k").agg(
-        *[F.sum(c).alias(c) for c in ("now", "next", "tokens")]
-    ).collect()
-    sums = sorted(found, key=lambda r: r["k"])
-    return np.array([[r["now"] for r in sums], [r["next"] for r in sums]]), sums[0]["tokens"] if sums else 0.0
+    found = rows.mapInArrow(run, "sums array<double>, tokens double").collect()
+    return sum((np.reshape(r["sums"], (2, domains)) for r in found), np.zeros((2, domains))), sum(r["tokens"] for r in found)
 
 
 def with_rates(members: DataFrame, gaps: list[np.ndarray], *, most: float = MOST, ridge: float = RIDGE) -> DataFrame:

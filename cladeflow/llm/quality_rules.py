@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cladeflow.llm.common import text_map
@@ -110,6 +110,11 @@ def choose(fit_good: np.ndarray, fit_bad: np.ndarray, test_good: np.ndarray, ris
     return out
 
 
+def _place(value: Column) -> Column:
+    """How many cutoffs of the grid are not below the value: one short expression, as a comparison for each fills the driver with plans."""
+    return F.size(F.filter(F.array(*map(F.lit, GRID)), lambda c: value <= c))
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", stratum: str = "lang", good: str = "quality",
             risk: float = RISK, error: float = ERROR) -> DataFrame:
     """stratum (null as empty text) and a cutoff for each rule, null where none is certified."""
@@ -119,12 +124,10 @@ def cutoffs(measured: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", s
         (F.col("_good") > 0).alias("good"),
         (F.pmod(F.xxhash64("_id"), F.lit(3)) == 0).alias("fit"),
         F.explode(F.array(*[
-            F.struct(F.lit(name).alias("rule"), sum((F.coalesce(value, F.lit(0.0)) <= c).cast("int") for c in GRID).alias("place"))
-            for name, (a, b) in RULES.items()
-            for value in [F.try_divide(a, b)]
+            F.struct(F.lit(name).alias("rule"), F.coalesce(F.try_divide(a, b), F.lit(0.0)).alias("value")) for name, (a, b) in RULES.items()
         ])).alias("r"),
     )
-    histogram = rows.groupBy("stratum", "good", "fit", "r.rule", "r.place").agg(F.count(F.lit(1)).alias("n"))
+    histogram = rows.groupBy("stratum", "good", "fit", "r.rule", _place(F.col("r.value")).alias("place")).agg(F.count(F.lit(1)).alias("n"))
     strata = histogram.select("stratum").distinct().count()
     level = error / (max(strata, 1) * len(RULES))
 

@@ -150,6 +150,25 @@ def test_a_pass_of_the_rates_is_one_sum(spark):
     assert len(sc.statusTracker().getJobIdsForGroup("rates")) <= 2 * 4
 
 
+def test_a_pass_of_the_rates_is_one_stage(spark):
+    """Plans and events of sixty passes fill the driver: each is one job of one stage, and all tasks' sums count."""
+    rng = np.random.default_rng(10)
+    p, tokens = rng.dirichlet([0.5, 0.5], 300), rng.integers(1, 50, 300)
+    members = spark.createDataFrame([(int(n), q.tolist()) for n, q in zip(tokens, p, strict=True)], "_tokens bigint, _posterior array<double>")
+    sc = spark.sparkContext
+    sc.setJobGroup("passes", "passes")
+    try:
+        sums, total = mixing._expected(members.repartition(5).localCheckpoint(), [], 2, 4.0, 0.001)
+        before = {*sc.statusTracker().getJobIdsForGroup("passes")}
+        again, _ = mixing._expected(members, [np.array([0.1, -0.1])], 2, 4.0, 0.001)
+        jobs = {*sc.statusTracker().getJobIdsForGroup("passes")} - before
+    finally:
+        sc._jsc.clearJobGroup()
+    assert np.allclose(sums, [tokens @ p] * 2) and total == tokens.sum()
+    assert np.allclose(again, [(tokens * r) @ p for r in mixing.rates(p, [np.array([0.1, -0.1])])])
+    assert [len(sc.statusTracker().getJobInfo(j).stageIds) for j in jobs] == [1]
+
+
 def test_words_are_hashed_together_as_one_by_one():
     words = [b"Haanth.", b"'", b"!!", "\u00e9treeAU".encode(), b"\xff\xc3", b"12ab\x1cCD", b"a"]
     def plain(w):

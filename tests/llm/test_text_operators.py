@@ -4,6 +4,7 @@ import random
 
 import pytest
 from brute import TEXTS, contamination, held, quality_counts, repeated, sha, unigram
+from pyspark.sql import functions as F
 
 from cladeflow.llm import decontamination, lm_scoring, quality_rules, substring_dedup
 
@@ -189,3 +190,16 @@ def test_lm_contexts_by_three_classes_equal_the_four_features():
     plain = lm_scoring.softmax(weights, four)
     for (part, raised, total), (_, raised3, total3) in zip(plain, lm_scoring.softmax(weights, three, *lm_scoring.tables(weights)), strict=True):
         assert np.allclose(raised, raised3, rtol=1e-4) and np.allclose(total, total3, rtol=1e-4)
+
+
+def test_places_in_the_grid_take_one_short_expression(spark, monkeypatch, capsys):
+    """A comparison for each rule and cutoff made plans that fill the driver."""
+    rows = [(k, float(v)) for k, v in enumerate([0, -1, 0.005, 1e9, *quality_rules.GRID, *(c * 1.0001 for c in quality_rules.GRID)])]
+    found = spark.createDataFrame(rows, "k int, v double").select("k", "v", quality_rules._place(F.col("v")).alias("place")).collect()
+    assert [r.place for r in found] == [sum(r.v <= c for c in quality_rules.GRID) for r in found]
+    docs = spark.createDataFrame([(k, "some words! " * (30 + k)) for k in range(8)], "doc_id bigint, text string").withColumn("lang", F.lit("aa"))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(8)], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality_rules, "cut", lambda frame: frame)
+    capsys.readouterr()
+    quality_rules.cutoffs(quality_rules.counts(docs), labels).explain()
+    assert capsys.readouterr().out.count("<=") <= 10
